@@ -1,16 +1,19 @@
 """Per-user features that look along a user's own history.
 
-A user may own a large share of all rows, so nothing here windows over a whole user.
-The history is cut into time slices of fixed width; rows are shuffled once by
-(user, slice) and what a slice needs from outside comes with it:
-
-* velocity: each transaction adds itself when it happens and takes itself off when it
-  leaves the window, so a running total replaces a sliding frame (one pass, no frame
-  kept in memory). If it leaves in the next slice, it is carried in at that slice's start.
-* previous transaction, mean and deviation: one small row per (user, slice), from a
-  partially aggregated pass, joined on the key the rows are already shuffled by.
-
-Sums run on decimals, so adding and taking off cancel exactly.
+A user may own a large share of all rows, so nothing here windows over the transactions
+of a whole user. Time is cut into narrow slices and the rows are shuffled once by
+(user, slice). What a slice needs from the rest of the history is one row of a summary
+per (user, slice), built from a partially aggregated pass and joined on the key by which
+the rows are shuffled already:
+
+* velocity: a transaction counts +1 when it happens and -1 when it leaves the window. The
+  total at any time is the net of all earlier slices (from the summary) plus a running
+  total inside the slice. That is one pass however many rows a window holds; no frame is
+  kept in memory. Amounts are summed as decimals, so adding and taking off cancel exactly.
+* previous transaction: the one before in the slice, else the last of the slices before.
+* mean and deviation: combined from the moments of all slices of the user.
+
+The windows over slices see one row per slice, a number bounded by time and not by rows.
 """
 
 from __future__ import annotations
@@ -19,92 +22,74 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.scoring import amount_flags
-from riskweave.settings import NO_PREVIOUS_SECONDS
+from riskweave.settings import DEFAULTS, NO_PREVIOUS_SECONDS
 
 _KEYS = ["user_id", "_slice"]
 
 
-def _slice_width(window_seconds: int, slice_seconds: int) -> int:
-    # A window may reach into one following slice only.
-    return max(slice_seconds, window_seconds + 1)
-
-
 def _slice_start(second: Column, width: int) -> Column:
     return second - F.pmod(second, F.lit(width))
 
 
-def _sliced(df: DataFrame, width: int) -> DataFrame:
+def _marks(df: DataFrame, window_seconds: int | None, width: int) -> DataFrame:
+    """Every row in its slice; with a window also a slim row (-1) where it leaves."""
     second = F.unix_timestamp("event_timestamp")
-    return df.withColumn("_at", second).withColumn("_slice", _slice_start(F.col("_at"), width))
-
 
-def _with_exits(df: DataFrame, window_seconds: int, width: int) -> DataFrame:
-    """Rows plus slim marker rows: -1 on leaving the window, +1 when carried over."""
-    leave = F.col("_at") + window_seconds + 1
-    leave_slice = _slice_start(leave, width)
-
-    def mark(slice_, at, step, real) -> Column:
+    def mark(at: Column, step: int, real: bool) -> Column:
         return F.struct(
-            slice_.alias("slice"), at.alias("at"),
+            _slice_start(at, width).alias("slice"), at.alias("at"),
             F.lit(step).alias("step"), F.lit(real).alias("real"),
         )
 
-    own = mark(F.col("_slice"), F.col("_at"), 1, True)
-    off = mark(leave_slice, leave, -1, False)
-    carry = mark(leave_slice, leave_slice, 1, False)
-    marks = (
-        F.when(F.col("_at").isNull(), F.array(own))
-        .when(leave_slice > F.col("_slice"), F.array(own, off, carry))
-        .otherwise(F.array(own, off))
-    )
-    payload = [c for c in df.columns if c not in ("user_id", "amount", "_at", "_slice")]
+    here = mark(second, 1, True)
+    if window_seconds is None:
+        marks = F.array(here)
+    else:
+        gone = mark(second + window_seconds + 1, -1, False)
+        marks = F.when(second.isNull(), F.array(here)).otherwise(F.array(here, gone))
+    payload = [c for c in df.columns if c not in ("user_id", "amount")]
     return df.withColumn("_m", F.explode(marks)).select(
-        "user_id", "amount",
-        F.col("_m.slice").alias("_slice"), F.col("_m.at").alias("_at"),
-        F.col("_m.step").alias("_step"), F.col("_m.real").alias("_real"),
+        "user_id", "amount", *[F.col(f"_m.{c}").alias(f"_{c}")
+                               for c in ("slice", "at", "step", "real")],
+        (F.col("amount").try_cast("decimal(24,6)") * F.col("_m.step")).alias("_money"),
         *[F.when(F.col("_m.real"), F.col(c)).alias(c) for c in payload],
     )
 
 
-def _running_totals(rows: DataFrame) -> DataFrame:
-    money = F.col("amount").try_cast("decimal(24,6)") * F.col("_step")
+def _within_slices(marks: DataFrame) -> DataFrame:
+    """Running values inside each slice; the three windows share one sort."""
     so_far = Window.partitionBy(*_KEYS).orderBy("_at")
-    return rows.withColumn("velocity_count", F.sum("_step").over(so_far)).withColumn(
-        "velocity_amount", F.sum(money).over(so_far).cast("double")
-    )
-
-
-def _previous_in_slice(rows: DataFrame) -> DataFrame:
-    # Same leading order as the running totals, so both share one sort.
     before = (
-        Window.partitionBy(*_KEYS)
-        .orderBy("_at", "event_timestamp", "transaction_id")
+        Window.partitionBy(*_KEYS).orderBy("_at", "event_timestamp", "transaction_id")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return rows.withColumn(
-        "prev_timestamp", F.last("event_timestamp", ignorenulls=True).over(before)
+    return (
+        marks
+        .withColumn("_before", F.last("event_timestamp", ignorenulls=True).over(before))
+        .withColumn("_count", F.sum("_step").over(so_far))
+        .withColumn("_amount", F.sum("_money").over(so_far))
+        .filter("_real")
     )
 
 
-def _slice_summary(sliced: DataFrame) -> DataFrame:
-    """One row per (user, slice) with the user's mean and deviation over all slices and
-    the last event before the slice. Windows run over slices, not over transactions."""
-    per_slice = sliced.groupBy(*_KEYS).agg(
-        F.count("amount").alias("_n"),
-        F.avg("amount").alias("_mean"),
-        F.var_pop("amount").alias("_var"),
-        F.min("amount").alias("_low"),
-        F.max("amount").alias("_high"),
+def _slice_summary(marks: DataFrame) -> DataFrame:
+    """One row per (user, slice): what came before it, and the user's overall moments."""
+    amount = F.when(F.col("_real"), F.col("amount"))
+    per_slice = marks.groupBy(*_KEYS).agg(
+        F.sum("_step").alias("_net"), F.sum("_money").alias("_net_money"),
         F.max("event_timestamp").alias("_last"),
+        F.count(amount).alias("_n"), F.avg(amount).alias("_mean"),
+        F.var_pop(amount).alias("_var"),
+        F.min(amount).alias("_low"), F.max(amount).alias("_high"),
     )
     user = Window.partitionBy("user_id")
-    in_order = (
-        user.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    earlier = user.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     total = F.sum("_n").over(user)
     return (
         per_slice
-        .withColumn("_carried", F.last("_last", ignorenulls=True).over(in_order))
+        .withColumn("_open", F.sum("_net").over(earlier))
+        .withColumn("_open_money", F.sum("_net_money").over(earlier))
+        .withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier))
         .withColumn("avg_amount", F.sum(F.col("_n") * F.col("_mean")).over(user)
                     / F.when(total > 0, total))
         .withColumn("_spread", F.sum(F.col("_n") * (
@@ -115,7 +100,7 @@ def _slice_summary(sliced: DataFrame) -> DataFrame:
         .withColumn("stddev_amount",
                     F.when((total > 1) & F.col("_flat"), F.lit(0.0))
                     .when(total > 1, F.sqrt(F.col("_spread") / (total - 1))))
-        .select(*_KEYS, "_carried", "avg_amount", "stddev_amount")
+        .select(*_KEYS, "_open", "_open_money", "_carried", "avg_amount", "stddev_amount")
     )
 
 
@@ -127,57 +112,53 @@ def zscore() -> Column:
     ).otherwise(F.lit(0.0))
 
 
-def _seconds_since() -> Column:
+def history_features(df: DataFrame, window_seconds: int | None = 300,
+                     slice_seconds: int = DEFAULTS.history_slice_seconds) -> DataFrame:
+    """All features of a user's history behind a single shuffle of the transactions.
+
+    Columns a caller does not select cost nothing: the optimizer drops their windows and
+    aggregates.
+    """
+    marks = _marks(df, window_seconds, slice_seconds)
+    joined = _within_slices(marks).join(_slice_summary(marks), _KEYS, "left")
     gap = F.unix_timestamp("event_timestamp") - F.unix_timestamp("prev_timestamp")
-    return F.coalesce(gap, F.lit(NO_PREVIOUS_SECONDS).cast("bigint"))
+    features = (
+        joined
+        .withColumn("velocity_count", F.col("_count") + F.coalesce("_open", F.lit(0)))
+        .withColumn("velocity_amount", (
+            F.coalesce("_amount", F.lit(0)) + F.coalesce("_open_money", F.lit(0))
+        ).cast("double"))
+        .withColumn("prev_timestamp", F.coalesce("_before", "_carried"))
+        .withColumn("time_since_last",
+                    F.coalesce(gap, F.lit(NO_PREVIOUS_SECONDS).cast("bigint")))
+        .withColumn("amount_zscore", zscore())
+    )
+    return amount_flags(features).select(
+        *df.columns, "velocity_count", "velocity_amount", "prev_timestamp",
+        "time_since_last", "avg_amount", "stddev_amount", "amount_zscore",
+        "is_high_amount", "is_very_high_amount",
+    )
 
 
 def velocity(df: DataFrame, window_seconds: int = 300,
-             slice_seconds: int = 3600) -> DataFrame:
+             slice_seconds: int = DEFAULTS.history_slice_seconds) -> DataFrame:
     """Count and sum of the user's transactions in the last ``window_seconds`` (both
     ends included, whole seconds; transactions of the same second see each other)."""
-    width = _slice_width(window_seconds, slice_seconds)
-    rows = _with_exits(_sliced(df, width), window_seconds, width)
-    return (
-        _running_totals(rows).filter("_real")
-        .select(*df.columns, "velocity_count", "velocity_amount")
+    return history_features(df, window_seconds, slice_seconds).select(
+        *df.columns, "velocity_count", "velocity_amount"
     )
 
 
-def time_since_last(df: DataFrame, slice_seconds: int = 3600) -> DataFrame:
+def time_since_last(df: DataFrame,
+                    slice_seconds: int = DEFAULTS.history_slice_seconds) -> DataFrame:
     """Previous event of the same user and the whole seconds since."""
-    sliced = _sliced(df, slice_seconds)
-    return (
-        _previous_in_slice(sliced)
-        .join(_slice_summary(sliced).select(*_KEYS, "_carried"), _KEYS, "left")
-        .withColumn("prev_timestamp", F.coalesce("prev_timestamp", "_carried"))
-        .withColumn("time_since_last", _seconds_since())
-        .select(*df.columns, "prev_timestamp", "time_since_last")
+    return history_features(df, None, slice_seconds).select(
+        *df.columns, "prev_timestamp", "time_since_last"
     )
 
 
 def amount_zscore(df: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Z-score against given profiles. The join is left to the planner: small profile
-    tables are broadcast by size, hot users are split by the adaptive skew join."""
+    """Z-score against given profiles. The join is left to the planner: a small profile
+    table is broadcast by its size, hot users are split by the adaptive skew join."""
     stats = profiles.select("user_id", "avg_amount", "stddev_amount")
     return df.join(stats, "user_id", "left").withColumn("amount_zscore", zscore())
-
-
-def history_features(df: DataFrame, window_seconds: int = 300,
-                     slice_seconds: int = 3600) -> DataFrame:
-    """All features of a user's history behind a single shuffle of the transactions."""
-    width = _slice_width(window_seconds, slice_seconds)
-    sliced = _sliced(df, width)
-    rows = _running_totals(_previous_in_slice(_with_exits(sliced, window_seconds, width)))
-    features = (
-        rows.filter("_real")
-        .join(_slice_summary(sliced), _KEYS, "left")
-        .withColumn("prev_timestamp", F.coalesce("prev_timestamp", "_carried"))
-        .withColumn("time_since_last", _seconds_since())
-        .withColumn("amount_zscore", zscore())
-    )
-    return amount_flags(features).select(
-        *df.columns, "velocity_count", "velocity_amount", "prev_timestamp",
-        "time_since_last", "avg_amount", "stddev_amount", "amount_zscore",
-        "is_high_amount", "is_very_high_amount",
-    )
