@@ -64,6 +64,10 @@ def r4(column: str | Column) -> Column:
     return F.round(column, 4)
 
 
+def r8(column: str | Column) -> Column:
+    return F.round(column, 8)
+
+
 def r6(column: str | Column) -> Column:
     return F.round(column, 6)
 
@@ -397,8 +401,8 @@ def dedup_batch(spark, sf_dir):
 @query
 def user_profiles(spark, sf_dir):
     rows = profiles.user_profiles(unique(spark, sf_dir), as_of())
-    return rounded(rows, total_amount=4, avg_amount=4, stddev_amount=4, fraud_rate=6,
-                   online_rate=6).withColumns({
+    return rounded(rows, total_amount=4, avg_amount=8, stddev_amount=4, fraud_rate=9,
+                   online_rate=9).withColumns({
         "first_transaction": text("first_transaction", True),
         "last_transaction": text("last_transaction", True),
         "countries_used": F.array_join("countries_used", ","),
@@ -409,14 +413,14 @@ def user_profiles(spark, sf_dir):
 @query
 def user_profile_lookup(spark, sf_dir):
     found = serving.user_profile(profiles.user_profiles(unique(spark, sf_dir), as_of()), A_USER)
-    return found.select("user_id", "total_transactions", r4("avg_amount").alias("avg_amount"),
+    return found.select("user_id", "total_transactions", r8("avg_amount").alias("avg_amount"),
                         "unique_countries", "account_age_days")
 
 
 @query
 def user_features(spark, sf_dir):
     return rounded(profiles.user_features(unique(spark, sf_dir)),
-                   avg_amount=4, stddev_amount=4, total_amount=4)
+                   avg_amount=8, stddev_amount=4, total_amount=4)
 
 
 @query
@@ -427,7 +431,7 @@ def hourly_pivot(spark, sf_dir):
 @query
 def avg_profile_rate(spark, sf_dir):
     rows = profiles.average_profile(profiles.user_profiles(unique(spark, sf_dir), as_of()))
-    return rounded(rows, avg_fraud_rate=6, avg_online_rate=6)
+    return rounded(rows, avg_fraud_rate=9, avg_online_rate=9)
 
 
 @query
@@ -435,8 +439,8 @@ def profile_enriched(spark, sf_dir):
     txns = unique(spark, sf_dir)
     rows = profiles.enrich_with_profile(txns, profiles.user_profiles(txns, as_of()))
     return rows.select("transaction_id", "user_id", "amount", "total_transactions",
-                       r4("avg_amount").alias("avg_amount"),
-                       r6("fraud_rate").alias("fraud_rate"))
+                       r8("avg_amount").alias("avg_amount"),
+                       F.round("fraud_rate", 9).alias("fraud_rate"))
 
 
 @query
@@ -484,51 +488,51 @@ def time_since_last(spark, sf_dir):
 @query
 def daily_stats(spark, sf_dir):
     rows = views.daily_stats(batch_rows(spark, sf_dir))
-    return rounded(rows, total_amount=4, avg_fraud_score=6).withColumn("date", text("date"))
+    return rounded(rows, total_amount=4, avg_fraud_score=9).withColumn("date", text("date"))
 
 
 @query
 def country_stats(spark, sf_dir):
     return rounded(views.country_stats(batch_rows(spark, sf_dir)),
-                   total_amount=4, avg_fraud_score=6, fraud_rate=6)
+                   total_amount=4, avg_fraud_score=9, fraud_rate=9)
 
 
 @query
 def period_stats(spark, sf_dir):
     rows = views.calendar_stats(batch_rows(spark, sf_dir))
-    return rounded(rows, total_amount=4, avg_fraud_score=6).withColumn(
+    return rounded(rows, total_amount=4, avg_fraud_score=9).withColumn(
         "period_start", text("period_start"))
 
 
 @query
 def run_summary(spark, sf_dir):
     scored = scoring.score(with_is_fraud(unique(spark, sf_dir)), "sql")
-    return rounded(views.run_summary(scored), avg_score=6, fraud_rate=6)
+    return rounded(views.run_summary(scored), avg_score=9, fraud_rate=9)
 
 
 @query
 def fraud_rate_over_time(spark, sf_dir):
     return rounded(views.fraud_rate_over_time(realtime_rows(spark, sf_dir), as_of()),
-                   avg_score=6)
+                   avg_score=9)
 
 
 @query
 def transactions_by_country(spark, sf_dir):
     rows = serving.transactions_by_country(
         realtime_rows(spark, sf_dir), batch_rows(spark, sf_dir))
-    return rounded(rows, total_amount=4, fraud_rate=6)
+    return rounded(rows, total_amount=4, fraud_rate=9)
 
 
 @query
 def by_country(spark, sf_dir):
     return rounded(views.by_country(realtime_rows(spark, sf_dir), 8, "Unknown"),
-                   total_amount=4, fraud_rate=6)
+                   total_amount=4, fraud_rate=9)
 
 
 @query
 def by_country_15(spark, sf_dir):
     return rounded(views.by_country(alert_rows(spark, sf_dir), 15),
-                   total_amount=4, fraud_rate=6)
+                   total_amount=4, fraud_rate=9)
 
 
 @query
@@ -551,25 +555,25 @@ def by_category(spark, sf_dir):
 @query
 def high_risk_users(spark, sf_dir):
     return rounded(views.high_risk_users(realtime_rows(spark, sf_dir)),
-                   total_amount=4, avg_score=6, fraud_rate=6)
+                   total_amount=4, avg_score=9, fraud_rate=9)
 
 
 @query
 def high_risk_users_min2(spark, sf_dir):
     return rounded(views.high_risk_users(alert_rows(spark, sf_dir), 2),
-                   total_amount=4, avg_score=6, fraud_rate=6)
+                   total_amount=4, avg_score=9, fraud_rate=9)
 
 
 @query
 def recent_stats(spark, sf_dir):
     return rounded(views.recent_stats(realtime_rows(spark, sf_dir), as_of()),
-                   avg_amount=4, fraud_rate=6, recent_fraud_rate=6)
+                   avg_amount=8, fraud_rate=9, recent_fraud_rate=9)
 
 
 @query
 def dashboard_summary(spark, sf_dir):
     return rounded(views.dashboard_summary(realtime_rows(spark, sf_dir), as_of()),
-                   avg_amount=4, fraud_rate=6, recent_fraud_rate=6)
+                   avg_amount=8, fraud_rate=9, recent_fraud_rate=9)
 
 
 @query
@@ -590,18 +594,18 @@ def score_histogram(spark, sf_dir):
 @query
 def confusion_metrics(spark, sf_dir):
     return rounded(views.confusion(realtime_rows(spark, sf_dir)),
-                   detection_rate=6, false_positive_rate=6, precision=6)
+                   detection_rate=9, false_positive_rate=9, precision=9)
 
 
 @query
 def label_mix(spark, sf_dir):
-    return rounded(views.label_mix(raw(spark, sf_dir)), percent=4)
+    return rounded(views.label_mix(raw(spark, sf_dir)), percent=8)
 
 
 @query
 def period_growth(spark, sf_dir):
     rows = views.period_growth(realtime_rows(spark, sf_dir))
-    return rounded(rows, growth=4).withColumn("day", text("day"))
+    return rounded(rows, growth=8).withColumn("day", text("day"))
 
 
 @query
@@ -670,7 +674,7 @@ def dashboard_timeline(spark, sf_dir):
         realtime_rows(spark, sf_dir),
         F.window("event_timestamp", "1 hour").end.alias("timestamp"), F.col("country"),
     ).withColumnRenamed("total_transactions", "transaction_count")
-    rows = rounded(views.dashboard_timeline(hours), total_amount=4, avg_fraud_score=6)
+    rows = rounded(views.dashboard_timeline(hours), total_amount=4, avg_fraud_score=9)
     return rows.withColumn("timestamp", text("timestamp"))
 
 
@@ -715,7 +719,7 @@ def dead_letter(spark, sf_dir):
 @query
 def rejection_rate(spark, sf_dir):
     checked = quality.validate(quality.parse_messages(messages_with_faults(spark, sf_dir)))
-    return rounded(metrics.rejection_rate(checked), rejection_rate=6)
+    return rounded(metrics.rejection_rate(checked), rejection_rate=9)
 
 
 @query
@@ -786,7 +790,7 @@ def stream_scored(spark, sf_dir):
 @query
 def microbatch_country_stats(spark, sf_dir):
     rows = sinks.read_batches(spark, speed_outputs(spark, sf_dir), "dashboard_stats")
-    return rounded(rows.drop("batch_id"), total_amount=4, avg_fraud_score=6).withColumn(
+    return rounded(rows.drop("batch_id"), total_amount=4, avg_fraud_score=9).withColumn(
         "timestamp", text("timestamp"))
 
 
@@ -909,13 +913,13 @@ def active_users(spark, sf_dir):
 @query
 def rate_5m(spark, sf_dir):
     rows = metrics.rate_per_second(_outcomes(spark, sf_dir), "layer", "status")
-    return rounded(rows, rate=6).withColumn("window_start", text("window_start"))
+    return rounded(rows, rate=9).withColumn("window_start", text("window_start"))
 
 
 @query
 def fraud_rate_5m(spark, sf_dir):
     rows = metrics.rate_per_second(alert_rows(spark, sf_dir), "country")
-    return rounded(rows, rate=6).withColumn("window_start", text("window_start"))
+    return rounded(rows, rate=9).withColumn("window_start", text("window_start"))
 
 
 @query
@@ -924,7 +928,7 @@ def latency_quantiles(spark, sf_dir):
     out = metrics.histogram_quantiles(
         rows, F.col("value") / 100, {"p50": 0.50, "p95": 0.95, "p99": 0.99},
         F.window("t", "5 minutes").start.alias("window_start"))
-    return rounded(out, p50=6, p95=6, p99=6).withColumn("window_start", text("window_start"))
+    return rounded(out, p50=9, p95=9, p99=9).withColumn("window_start", text("window_start"))
 
 
 # ---- flagship ------------------------------------------------------------------------
