@@ -63,13 +63,11 @@ def _within_slices(marks: DataFrame) -> DataFrame:
         Window.partitionBy(*_KEYS).orderBy("_at", "event_timestamp", "transaction_id")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return (
-        marks
-        .withColumn("_before", F.last("event_timestamp", ignorenulls=True).over(before))
-        .withColumn("_count", F.sum("_step").over(so_far))
-        .withColumn("_amount", F.sum("_money").over(so_far))
-        .filter("_real")
-    )
+    return marks.withColumn(
+        "_before", F.last("event_timestamp", ignorenulls=True).over(before)
+    ).withColumns({
+        "_count": F.sum("_step").over(so_far), "_amount": F.sum("_money").over(so_far),
+    }).filter("_real")
 
 
 def _slice_summary(marks: DataFrame) -> DataFrame:
@@ -84,23 +82,23 @@ def _slice_summary(marks: DataFrame) -> DataFrame:
     )
     user = Window.partitionBy("user_id")
     earlier = user.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    total = F.sum("_n").over(user)
-    return (
-        per_slice
-        .withColumn("_open", F.sum("_net").over(earlier))
-        .withColumn("_open_money", F.sum("_net_money").over(earlier))
-        .withColumn("_carried", F.last("_last", ignorenulls=True).over(earlier))
-        .withColumn("avg_amount", F.sum(F.col("_n") * F.col("_mean")).over(user)
-                    / F.when(total > 0, total))
-        .withColumn("_spread", F.sum(F.col("_n") * (
-            F.col("_var") + F.pow(F.col("_mean") - F.col("avg_amount"), 2)
-        )).over(user))
+    with_mean = per_slice.withColumns({
+        "_open": F.sum("_net").over(earlier),
+        "_open_money": F.sum("_net_money").over(earlier),
+        "_carried": F.last("_last", ignorenulls=True).over(earlier),
+        "_total": F.sum("_n").over(user),
+        "_sum": F.sum(F.col("_n") * F.col("_mean")).over(user),
         # Equal amounts have no deviation; rounding of the means must not invent one.
-        .withColumn("_flat", F.min("_low").over(user) == F.max("_high").over(user))
-        .withColumn("stddev_amount",
-                    F.when((total > 1) & F.col("_flat"), F.lit(0.0))
-                    .when(total > 1, F.sqrt(F.col("_spread") / (total - 1))))
-        .select(*_KEYS, "_open", "_open_money", "_carried", "avg_amount", "stddev_amount")
+        "_flat": F.min("_low").over(user) == F.max("_high").over(user),
+    }).withColumn("avg_amount", F.col("_sum") / F.when(F.col("_total") > 0, F.col("_total")))
+    from_mean = F.col("_var") + F.pow(F.col("_mean") - F.col("avg_amount"), 2)
+    several = F.col("_total") > 1
+    spread = F.sum(F.col("_n") * from_mean).over(user)
+    return with_mean.withColumn("_spread", spread).select(
+        *_KEYS, "_open", "_open_money", "_carried", "avg_amount",
+        F.when(several & F.col("_flat"), F.lit(0.0))
+        .when(several, F.sqrt(F.col("_spread") / (F.col("_total") - 1)))
+        .alias("stddev_amount"),
     )
 
 
@@ -122,16 +120,15 @@ def history_features(df: DataFrame, window_seconds: int | None = 300,
     marks = _marks(df, window_seconds, slice_seconds)
     joined = _within_slices(marks).join(_slice_summary(marks), _KEYS, "left")
     gap = F.unix_timestamp("event_timestamp") - F.unix_timestamp("prev_timestamp")
-    features = (
-        joined
-        .withColumn("velocity_count", F.col("_count") + F.coalesce("_open", F.lit(0)))
-        .withColumn("velocity_amount", (
+    features = joined.withColumns({
+        "velocity_count": F.col("_count") + F.coalesce("_open", F.lit(0)),
+        "velocity_amount": (
             F.coalesce("_amount", F.lit(0)) + F.coalesce("_open_money", F.lit(0))
-        ).cast("double"))
-        .withColumn("prev_timestamp", F.coalesce("_before", "_carried"))
-        .withColumn("time_since_last",
-                    F.coalesce(gap, F.lit(NO_PREVIOUS_SECONDS).cast("bigint")))
-        .withColumn("amount_zscore", zscore())
+        ).cast("double"),
+        "prev_timestamp": F.coalesce("_before", "_carried"),
+        "amount_zscore": zscore(),
+    }).withColumn(
+        "time_since_last", F.coalesce(gap, F.lit(NO_PREVIOUS_SECONDS).cast("bigint"))
     )
     return amount_flags(features).select(
         *df.columns, "velocity_count", "velocity_amount", "prev_timestamp",

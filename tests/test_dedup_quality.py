@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_of
+from riskweave.operators import dedup, enrich, quality
+
+GOOD = {
+    "transaction_id": "a", "user_id": "u", "amount": 1.5, "merchant_id": "m",
+    "timestamp": "2024-01-01T00:00:02Z", "event_time": "2024-01-01T00:00:01.25Z",
+}
+
+
+def test_earliest_arrival_wins(make_txns):
+    df = make_txns([
+        {"transaction_id": "x", "event_s": 0.0, "proc_s": 400.0, "_label": "duplicate"},
+        {"transaction_id": "x", "event_s": 0.0, "proc_s": 1.0},
+        {"transaction_id": "y", "event_s": 0.0, "proc_s": 2.0},
+    ])
+    once = dedup.first_arrivals(df)
+    assert {(r["transaction_id"], r["_label"]) for r in once.collect()} == {
+        ("x", "normal"), ("y", "normal")}
+    assert dedup.first_arrivals(once).exceptAll(once).isEmpty()
+
+
+def test_ties_do_not_depend_on_the_layout(make_txns):
+    df = make_txns([{"transaction_id": "x", "event_s": 0.0, "amount": float(i)}
+                    for i in range(40)])
+    kept = {dedup.first_arrivals(df.repartition(n)).first()["amount"] for n in (1, 3, 7)}
+    assert len(kept) == 1
+
+
+def test_copies_are_cut_before_the_shuffle(spark, make_txns):
+    df = make_txns([{"transaction_id": "hot" if i % 3 else f"t{i}"} for i in range(300)])
+    once = dedup.first_arrivals(df.repartition(4))
+    plan = plan_of(once)
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+    assert once.count() == 101
+
+
+def test_blacklist(make_txns):
+    df = make_txns([{"merchant_id": m} for m in ("MERCHANT_999", "MERCHANT_001")])
+    assert enrich.blacklist_hits(df).first()["merchant_id"] == "MERCHANT_999"
+    assert enrich.blacklist_clean(df).first()["merchant_id"] == "MERCHANT_001"
+    assert enrich.flag_blacklisted(df).filter("is_blacklisted").count() == 1
+
+
+def test_large_lookup_tables_are_not_hinted(spark):
+    table = spark.range(50)
+    df = spark.range(5)
+    hinted = df.join(enrich.broadcast_if_small(table, 50), "id")
+    plain = df.join(enrich.broadcast_if_small(table, 49), "id")
+    assert "strategy=broadcast" in hinted._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" not in plain._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.fixture()
+def checked(spark):
+    def check(*lines):
+        df = spark.createDataFrame([(line,) for line in lines], "value string")
+        return quality.validate(quality.parse_messages(df))
+    return check
+
+
+@pytest.mark.parametrize("line, reason", [
+    (json.dumps(GOOD), None),
+    (json.dumps({**GOOD, "amount": "x"}), "malformed"),
+    ("nope", "malformed"),
+    (None, "malformed"),
+    (json.dumps({k: v for k, v in GOOD.items() if k != "transaction_id"}),
+     "missing transaction_id"),
+    (json.dumps({**GOOD, "event_time": "yesterday"}), "bad event_time"),
+    (json.dumps({**GOOD, "timestamp": "?"}), "bad timestamp"),
+    (json.dumps({**GOOD, "amount": 0}), "amount not positive"),
+])
+def test_reasons(checked, line, reason):
+    row = checked(line).first()
+    assert row["reason"] == reason and row["valid"] is (reason is None)
+
+
+def test_every_message_ends_in_one_output(checked):
+    df = checked(json.dumps(GOOD), "nope", json.dumps({**GOOD, "transaction_id": None}))
+    assert quality.accepted(df).count() == 1
+    assert {r["reason"] for r in quality.dead_letters(df).collect()} == {
+        "malformed", "missing transaction_id"}
+    filled = quality.fill_optional(quality.accepted(df)).first()
+    assert (filled["currency"], filled["country"]) == ("USD", "UNKNOWN")
+
+
+def test_text_is_parsed_once(checked):
+    plan = plan_of(quality.accepted(checked(json.dumps(GOOD))))
+    assert plan.count("from_json") == 1
+
+
+def test_lateness_bounds(make_txns):
+    df = make_txns([{"event_s": 0.0, "proc_s": float(d)} for d in (30, 31, 300, 301)])
+    got = quality.lateness(df).orderBy("delay_seconds").collect()
+    assert [r["lateness"] for r in got] == ["on_time", "late", "late", "too_late"]
+
+
+def test_unknown_fields_are_ignored(checked):
+    row = checked(json.dumps({**GOOD, "_delay_seconds": 90})).first()
+    assert row["valid"] and "_delay_seconds" not in row.asDict()

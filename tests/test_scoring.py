@@ -84,14 +84,15 @@ def test_score_is_capped_at_one(spark):
     st.one_of(st.none(), st.integers(0, 20)),
 ), min_size=1, max_size=20))
 def test_scores_stay_in_range_and_rise_with_the_amount(spark, rows):
+    # Both amounts of every row under one profile per example keep this to two jobs.
+    name = sorted(scoring.PROFILES)[len(rows) % len(scoring.PROFILES)]
     df = spark.createDataFrame(rows, FIELDS)
-    for name in scoring.PROFILES:
-        low = scoring.score(df, name)
-        high = scoring.score(df.withColumn("amount", F.col("amount") + 6000), name)
-        got = low.agg(F.min("fraud_score"), F.max("fraud_score"), F.count("fraud_score")).first()
-        assert 0 <= got[0] <= got[1] <= 1 and got[2] == len(rows)
-        assert high.agg(F.sum("fraud_score")).first()[0] >= (
-            low.agg(F.sum("fraud_score")).first()[0] - 1e-9)
+    low = scoring.score(df, name)
+    high = scoring.score(df.withColumn("amount", F.col("amount") + 6000), name)
+    lows = [r["fraud_score"] for r in low.collect()]
+    highs = [r["fraud_score"] for r in high.collect()]
+    assert all(0 <= a <= b + 1e-12 and b <= 1 for a, b in zip(lows, highs))
+    assert len(lows) == len(rows)
 
 
 def test_lookups_are_broadcast_and_no_python_runs(spark, make_txns):
