@@ -85,6 +85,13 @@ def unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.first_arrivals(raw(spark, sf_dir))
 
 
+def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that is read several times to the shared folder and read it back."""
+    path = work_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def with_is_fraud(df: DataFrame) -> DataFrame:
     return df.withColumn("is_fraud", F.col("_label") == "fraud")
 
@@ -821,14 +828,11 @@ def training_set(spark, sf_dir):
         "transaction_id", "label", "in_train")
 
 
-def _trained(spark, sf_dir, features=model.HISTORY_FEATURES) -> model.Trained:
-    return model.train(batch_rows(spark, sf_dir), features)
-
-
 @query
 def model_eval(spark, sf_dir):
     """Both feature lists, trained on the batch rows and measured on the held-out part."""
-    rows = batch_rows(spark, sf_dir)
+    # Training passes over its input many times, so the features are written once.
+    rows = staged(spark, batch_rows(spark, sf_dir), "features")
     held_out = model.training_set(rows).filter(~model.in_train_part(DEFAULTS.train_share))
     out = None
     for name, features in (("history", model.HISTORY_FEATURES),
@@ -845,9 +849,9 @@ def model_eval(spark, sf_dir):
 @query
 def stream_model_score(spark, sf_dir):
     """A model saved by the batch side, loaded and applied to the stream."""
-    trained = model.train(
-        scoring.score(unique(spark, sf_dir), "stream").withColumn("velocity_count", F.lit(0)),
-        model.ONLINE_FEATURES)
+    features = scoring.score(unique(spark, sf_dir), "stream").withColumn(
+        "velocity_count", F.lit(0))
+    trained = model.train(staged(spark, features, "features"), model.ONLINE_FEATURES)
     fitted = model.load(model.save(trained.model, work_path(spark, "model"), AS_OF))
     live = stream_rows(spark, sf_dir).withColumn("velocity_count", F.lit(0))
     rows = run_stream(spark, "modelled", model.predict_or_rules(live, fitted))
@@ -866,7 +870,8 @@ def _layers(spark, sf_dir) -> DataFrame:
 
 
 def _outcomes(spark, sf_dir) -> DataFrame:
-    """Ingest outcome of every message, under the time it arrived."""
+    """Ingest outcome of every message, under the time it arrived (unknown where the
+    message was not readable; those fall into no rate window)."""
     checked = quality.validate(quality.parse_messages(messages_with_faults(spark, sf_dir)))
     return checked.select(
         F.lit("stream").alias("layer"),

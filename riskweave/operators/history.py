@@ -74,6 +74,7 @@ def _slice_summary(marks: DataFrame) -> DataFrame:
     """One row per (user, slice): what came before it, and the user's overall moments."""
     amount = F.when(F.col("_real"), F.col("amount"))
     per_slice = marks.groupBy(*_KEYS).agg(
+        F.count_if("_real").alias("_rows"),
         F.sum("_step").alias("_net"), F.sum("_money").alias("_net_money"),
         F.max("event_timestamp").alias("_last"),
         F.count(amount).alias("_n"), F.avg(amount).alias("_mean"),
@@ -94,7 +95,8 @@ def _slice_summary(marks: DataFrame) -> DataFrame:
     from_mean = F.col("_var") + F.pow(F.col("_mean") - F.col("avg_amount"), 2)
     several = F.col("_total") > 1
     spread = F.sum(F.col("_n") * from_mean).over(user)
-    return with_mean.withColumn("_spread", spread).select(
+    # Slices in which transactions only leave have done their part by now.
+    return with_mean.withColumn("_spread", spread).filter("_rows > 0").select(
         *_KEYS, "_open", "_open_money", "_carried", "avg_amount",
         F.when(several & F.col("_flat"), F.lit(0.0))
         .when(several, F.sqrt(F.col("_spread") / (F.col("_total") - 1)))

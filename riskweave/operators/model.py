@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions.scoring import Profile, score
 from riskweave.settings import DEFAULTS, Settings
+from riskweave.sources.stores import append_row
 
 # The two feature lists of the model.
 HISTORY_FEATURES = (
@@ -105,9 +106,8 @@ def load(path: str) -> PipelineModel:
 
 def register(spark: SparkSession, root: str, path: str, at: datetime, auc: float) -> None:
     """Append a row to the model registry."""
-    spark.createDataFrame(
-        [(path, at, float(auc))], "path string, trained_at timestamp, auc double"
-    ).coalesce(1).write.mode("append").parquet(f"{root}/ml_models")
+    append_row(spark, f"{root}/ml_models", {
+        "path": path, "trained_at": F.lit(at).cast("timestamp"), "auc": float(auc)})
 
 
 def newest(spark: SparkSession, root: str) -> str | None:

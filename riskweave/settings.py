@@ -65,8 +65,9 @@ class Settings:
     realtime_ttl_seconds: int = 3600
     fraud_threshold: float = 0.7
     velocity_window_seconds: int = 300
-    # Width of the time slices a user's history is cut into before windowing.
-    history_slice_seconds: int = 60
+    # Width of the time slices a user's history is cut into before windowing. Narrower
+    # slices spread a hot user further; wider ones make fewer summary rows for the others.
+    history_slice_seconds: int = 900
     high_amount: float = 1000.0
     very_high_amount: float = 5000.0
     train_share: float = 0.8

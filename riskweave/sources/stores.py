@@ -35,12 +35,24 @@ def publish(df: DataFrame, root: str, view: str, run_id: str,
     return path
 
 
+def append_row(spark: SparkSession, path: str, values: dict[str, object]) -> None:
+    """Append one small record; built from literals, so no data leaves the driver's plan."""
+    row = spark.range(1, numPartitions=1).select(
+        *[F.lit(v).alias(name) for name, v in values.items()]
+    )
+    row.write.mode("append").parquet(path)
+
+
 def put_metadata(spark: SparkSession, root: str, values: dict[str, str],
                  at: datetime) -> None:
-    rows = [(k, v, at) for k, v in values.items()]
-    spark.createDataFrame(rows, METADATA).coalesce(1).write.mode("append").parquet(
-        f"{root}/system_metadata"
+    """Append all values of one run in a single commit."""
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")) for k, v in values.items()
+    ]))
+    rows = spark.range(1, numPartitions=1).select(pairs.alias("p")).select(
+        "p.key", "p.value", F.lit(at).cast("timestamp").alias("updated_at")
     )
+    rows.write.mode("append").parquet(f"{root}/system_metadata")
 
 
 def read_metadata(spark: SparkSession, root: str) -> DataFrame:
@@ -152,6 +164,12 @@ def mongodb_options(collection: str, s: Settings = DEFAULTS) -> dict:
     }
 
 
+def write_mongodb(df: DataFrame, collection: str, s: Settings = DEFAULTS,
+                  mode: str = "append") -> None:
+    """Executors write straight to the store; needs its connector on the class path."""
+    df.write.format("mongodb").options(**mongodb_options(collection, s)).mode(mode).save()
+
+
 def publish_messages(df: DataFrame, s: Settings = DEFAULTS, topic: str | None = None) -> None:
     """Send rows to a topic; alerts go to their own topic by passing its name."""
     kafka_envelope(df).write.format("kafka").options(**kafka_sink_options(s, topic)).save()
