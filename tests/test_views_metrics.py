@@ -27,6 +27,12 @@ def test_country_sums_equal_totals(make_scored):
     assert (by[0], by[1]) == (whole["total"], whole["fraud_count"])
 
 
+def test_throughput_counts_at_least_one_second(make_scored):
+    summary = views.run_summary(make_scored([{}] * 4))
+    assert views.with_throughput(summary, 0.1).first()["records_per_second"] == 4.0
+    assert views.with_throughput(summary, 2.0).first()["records_per_second"] == 2.0
+
+
 def test_labels_stay_with_their_bucket(make_scored):
     df = make_scored([{"amount": a} for a in (50.0, 700.0, 5000.0, 100000.0)])
     got = {r["range"]: r["count"] for r in views.amount_buckets(df).collect()}
