@@ -176,7 +176,7 @@ prof AS (
 def _period(keys: str, group: str, table: str = "sb") -> str:
     return f"""SELECT {keys}, {N} AS total_transactions,
       round(sum(amount), 4) AS total_amount, {_n('hit')} AS fraud_count,
-      round(avg(score), 9) AS avg_fraud_score FROM {table} GROUP BY {group}"""
+      round(avg(score), 12) AS avg_fraud_score FROM {table} GROUP BY {group}"""
 
 
 def _country_top(table: str, top: int, country: str = "country") -> str:
@@ -187,7 +187,7 @@ def _country_top(table: str, top: int, country: str = "country") -> str:
 
 def _risky_users(table: str, least: int) -> str:
     return f"""SELECT user_id, {N} AS total_transactions, {_n('hit')} AS fraud_count,
-      round(sum(amount), 4) AS total_amount, round(avg(score), 9) AS avg_score,
+      round(sum(amount), 4) AS total_amount, round(avg(score), 12) AS avg_score,
       {_share(_n('hit'), N)} AS fraud_rate
       FROM {table} GROUP BY user_id HAVING count(*) >= {least}
       ORDER BY {_n('hit')}::DOUBLE / count(*) DESC, user_id LIMIT 10"""
@@ -360,7 +360,7 @@ def all_oracles() -> dict[str, str]:
     out["dedup_batch"] = _sql(f"""SELECT transaction_id, label,
         {ts('proc_ts', True)} AS arrived_at FROM ded""")
     out["user_profiles"] = _sql(f"""SELECT user_id, total_transactions,
-        round(total_amount, 4) AS total_amount, round(avg_amount, 8) AS avg_amount,
+        round(total_amount, 4) AS total_amount, round(avg_amount, 10) AS avg_amount,
         round(stddev_amount, 4) AS stddev_amount, {ts('first_ts', True)} AS first_transaction,
         {ts('last_ts', True)} AS last_transaction, unique_countries, unique_merchants,
         online_count, fraud_count, array_to_string(countries, ',') AS countries_used,
@@ -369,20 +369,20 @@ def all_oracles() -> dict[str, str]:
         round(online_count::DOUBLE / total_transactions, 9) AS online_rate,
         age AS account_age_days FROM prof""", PROFILE)
     out["user_profile_lookup"] = _sql(f"""SELECT user_id, total_transactions,
-        round(avg_amount, 8) AS avg_amount, unique_countries, age AS account_age_days
+        round(avg_amount, 10) AS avg_amount, unique_countries, age AS account_age_days
         FROM prof WHERE user_id = {A_USER}""", PROFILE)
     out["user_features"] = _sql("""SELECT user_id, total_transactions AS transaction_count,
-        round(avg_amount, 8) AS avg_amount, round(stddev_amount, 4) AS stddev_amount,
+        round(avg_amount, 10) AS avg_amount, round(stddev_amount, 4) AS stddev_amount,
         round(total_amount, 4) AS total_amount, unique_countries, unique_merchants,
         online_count FROM prof""", PROFILE)
     hours = ", ".join(f"{_n(f'hour_of_day = {h}')} AS h{h:02d}" for h in range(24))
     out["hourly_pivot"] = _sql(f"SELECT user_id, {hours} FROM ded GROUP BY user_id")
     out["avg_profile_rate"] = _sql(f"""SELECT {N} AS users,
-        round(avg(fraud_count::DOUBLE / total_transactions), 9) AS avg_fraud_rate,
-        round(avg(online_count::DOUBLE / total_transactions), 9) AS avg_online_rate
+        round(avg(fraud_count::DOUBLE / total_transactions), 12) AS avg_fraud_rate,
+        round(avg(online_count::DOUBLE / total_transactions), 12) AS avg_online_rate
         FROM prof""", PROFILE)
     out["profile_enriched"] = _sql("""SELECT transaction_id, user_id, amount, total_transactions,
-        round(avg_amount, 8) AS avg_amount,
+        round(avg_amount, 10) AS avg_amount,
         round(fraud_count::DOUBLE / total_transactions, 9) AS fraud_rate
         FROM ded JOIN prof USING (user_id)""", PROFILE)
     out["new_country_for_user"] = _sql(f"""SELECT transaction_id, d.user_id, country,
@@ -410,10 +410,10 @@ def all_oracles() -> dict[str, str]:
         _period(f"'{g}' AS grain, " + ts(f"date_trunc('{g}', event_ts)") + " AS period_start",
                 "1, 2") for g in ("day", "week", "month")), DAY)
     out["run_summary"] = _sql(f"""SELECT {N} AS total, {_n('hit')} AS fraud_count,
-        round(avg(score), 9) AS avg_score, {_share(_n('hit'), N)} AS fraud_rate FROM sc""",
+        round(avg(score), 12) AS avg_score, {_share(_n('hit'), N)} AS fraud_rate FROM sc""",
         SQL_SCORE)
     out["fraud_rate_over_time"] = _sql(f"""SELECT strftime(event_ts, '%Y-%m-%d %H:00') AS hour,
-        {N} AS total, {_n('hit')} AS fraud_count, round(avg(score), 9) AS avg_score
+        {N} AS total, {_n('hit')} AS fraud_count, round(avg(score), 12) AS avg_score
         FROM ss WHERE event_ts >= {AS_OF} - INTERVAL 24 HOUR GROUP BY 1""", LIVE)
     out["transactions_by_country"] = _sql(_country_top("ss", 20), LIVE)
     out["by_country"] = _sql(_country_top("ss", 8, "coalesce(country, 'Unknown')"), LIVE)
@@ -433,14 +433,14 @@ def all_oracles() -> dict[str, str]:
     out["high_risk_users_min2"] = _sql(_risky_users("(SELECT * FROM ss WHERE hit)", 2), LIVE)
     out["recent_stats"] = _sql(f"""SELECT {_n(RECENT)} AS recent_total,
         {_n(RECENT + ' AND hit')} AS recent_fraud, {N} AS total, {_n('hit')} AS fraud,
-        round(avg(amount), 8) AS avg_amount,
+        round(avg(amount), 10) AS avg_amount,
         {_share(_n(RECENT + ' AND hit'), _n(RECENT))} AS recent_fraud_rate,
         {_share(_n('hit'), N)} AS fraud_rate FROM ss""", LIVE)
     out["dashboard_summary"] = _sql(f"""SELECT {N} AS total_transactions,
         {_n('hit')} AS total_fraud, {_share(_n('hit'), N)} AS fraud_rate,
         {_n(RECENT)} AS recent_transactions, {_n(RECENT + ' AND hit')} AS recent_fraud,
         {_share(_n(RECENT + ' AND hit'), _n(RECENT))} AS recent_fraud_rate,
-        round(avg(amount), 8) AS avg_amount FROM ss""", LIVE)
+        round(avg(amount), 10) AS avg_amount FROM ss""", LIVE)
     out["hourly_trend"] = _sql(f"""SELECT hour_of_day AS hour, {N} AS total,
         {_n('hit')} AS fraud FROM ss GROUP BY 1""", LIVE)
     out["amount_buckets"] = _sql(f"""SELECT CASE
@@ -491,7 +491,7 @@ def all_oracles() -> dict[str, str]:
     out["dashboard_timeline"] = _sql(f"""SELECT
         {ts("date_trunc('hour', event_ts) + INTERVAL 1 HOUR")} AS timestamp, country,
         {N} AS transaction_count, round(sum(amount), 4) AS total_amount,
-        {_n('hit')} AS fraud_count, round(avg(score), 9) AS avg_fraud_score FROM ss
+        {_n('hit')} AS fraud_count, round(avg(score), 12) AS avg_fraud_score FROM ss
         GROUP BY 1, 2 ORDER BY timestamp DESC, transaction_count DESC, country ASC NULLS LAST
         LIMIT 100""", LIVE)
     gone = f"proc_ts < {AS_OF} - INTERVAL 2 HOUR"
@@ -538,7 +538,7 @@ def all_oracles() -> dict[str, str]:
         FROM {live}""", LIVE)
     out["microbatch_country_stats"] = _sql(f"""SELECT country, {N} AS transaction_count,
         round(sum(amount), 4) AS total_amount, {_n('hit')} AS fraud_count,
-        round(avg(score), 9) AS avg_fraud_score, {ts(AS_OF)} AS timestamp,
+        round(avg(score), 12) AS avg_fraud_score, {ts(AS_OF)} AS timestamp,
         CAST(0 AS BIGINT) AS batch_no FROM {live} GROUP BY country""", LIVE)
     out["fanout_counts"] = _sql(f"""
         SELECT 'realtime_views' AS view, {N} AS rows, {ts(AS_OF)} AS last_batch FROM {live}

@@ -64,10 +64,6 @@ def r4(column: str | Column) -> Column:
     return F.round(column, 4)
 
 
-def r8(column: str | Column) -> Column:
-    return F.round(column, 8)
-
-
 def r6(column: str | Column) -> Column:
     return F.round(column, 6)
 
@@ -408,7 +404,7 @@ def dedup_batch(spark, sf_dir):
 @query
 def user_profiles(spark, sf_dir):
     rows = profiles.user_profiles(unique(spark, sf_dir), as_of())
-    return rounded(rows, total_amount=4, avg_amount=8, stddev_amount=4, fraud_rate=9,
+    return rounded(rows, total_amount=4, avg_amount=10, stddev_amount=4, fraud_rate=9,
                    online_rate=9).withColumns({
         "first_transaction": text("first_transaction", True),
         "last_transaction": text("last_transaction", True),
@@ -420,14 +416,14 @@ def user_profiles(spark, sf_dir):
 @query
 def user_profile_lookup(spark, sf_dir):
     found = serving.user_profile(profiles.user_profiles(unique(spark, sf_dir), as_of()), A_USER)
-    return found.select("user_id", "total_transactions", r8("avg_amount").alias("avg_amount"),
+    return found.select("user_id", "total_transactions", F.round("avg_amount", 10).alias("avg_amount"),
                         "unique_countries", "account_age_days")
 
 
 @query
 def user_features(spark, sf_dir):
     return rounded(profiles.user_features(unique(spark, sf_dir)),
-                   avg_amount=8, stddev_amount=4, total_amount=4)
+                   avg_amount=10, stddev_amount=4, total_amount=4)
 
 
 @query
@@ -438,7 +434,7 @@ def hourly_pivot(spark, sf_dir):
 @query
 def avg_profile_rate(spark, sf_dir):
     rows = profiles.average_profile(profiles.user_profiles(unique(spark, sf_dir), as_of()))
-    return rounded(rows, avg_fraud_rate=9, avg_online_rate=9)
+    return rounded(rows, avg_fraud_rate=12, avg_online_rate=12)
 
 
 @query
@@ -446,7 +442,7 @@ def profile_enriched(spark, sf_dir):
     txns = unique(spark, sf_dir)
     rows = profiles.enrich_with_profile(txns, profiles.user_profiles(txns, as_of()))
     return rows.select("transaction_id", "user_id", "amount", "total_transactions",
-                       r8("avg_amount").alias("avg_amount"),
+                       F.round("avg_amount", 10).alias("avg_amount"),
                        F.round("fraud_rate", 9).alias("fraud_rate"))
 
 
@@ -495,32 +491,32 @@ def time_since_last(spark, sf_dir):
 @query
 def daily_stats(spark, sf_dir):
     rows = views.daily_stats(batch_rows(spark, sf_dir))
-    return rounded(rows, total_amount=4, avg_fraud_score=9).withColumn("date", text("date"))
+    return rounded(rows, total_amount=4, avg_fraud_score=12).withColumn("date", text("date"))
 
 
 @query
 def country_stats(spark, sf_dir):
     return rounded(views.country_stats(batch_rows(spark, sf_dir)),
-                   total_amount=4, avg_fraud_score=9, fraud_rate=9)
+                   total_amount=4, avg_fraud_score=12, fraud_rate=9)
 
 
 @query
 def period_stats(spark, sf_dir):
     rows = views.calendar_stats(batch_rows(spark, sf_dir))
-    return rounded(rows, total_amount=4, avg_fraud_score=9).withColumn(
+    return rounded(rows, total_amount=4, avg_fraud_score=12).withColumn(
         "period_start", text("period_start"))
 
 
 @query
 def run_summary(spark, sf_dir):
     scored = scoring.score(with_is_fraud(unique(spark, sf_dir)), "sql")
-    return rounded(views.run_summary(scored), avg_score=9, fraud_rate=9)
+    return rounded(views.run_summary(scored), avg_score=12, fraud_rate=9)
 
 
 @query
 def fraud_rate_over_time(spark, sf_dir):
     return rounded(views.fraud_rate_over_time(realtime_rows(spark, sf_dir), as_of()),
-                   avg_score=9)
+                   avg_score=12)
 
 
 @query
@@ -562,25 +558,25 @@ def by_category(spark, sf_dir):
 @query
 def high_risk_users(spark, sf_dir):
     return rounded(views.high_risk_users(realtime_rows(spark, sf_dir)),
-                   total_amount=4, avg_score=9, fraud_rate=9)
+                   total_amount=4, avg_score=12, fraud_rate=9)
 
 
 @query
 def high_risk_users_min2(spark, sf_dir):
     return rounded(views.high_risk_users(alert_rows(spark, sf_dir), 2),
-                   total_amount=4, avg_score=9, fraud_rate=9)
+                   total_amount=4, avg_score=12, fraud_rate=9)
 
 
 @query
 def recent_stats(spark, sf_dir):
     return rounded(views.recent_stats(realtime_rows(spark, sf_dir), as_of()),
-                   avg_amount=8, fraud_rate=9, recent_fraud_rate=9)
+                   avg_amount=10, fraud_rate=9, recent_fraud_rate=9)
 
 
 @query
 def dashboard_summary(spark, sf_dir):
     return rounded(views.dashboard_summary(realtime_rows(spark, sf_dir), as_of()),
-                   avg_amount=8, fraud_rate=9, recent_fraud_rate=9)
+                   avg_amount=10, fraud_rate=9, recent_fraud_rate=9)
 
 
 @query
@@ -681,7 +677,7 @@ def dashboard_timeline(spark, sf_dir):
         realtime_rows(spark, sf_dir),
         F.window("event_timestamp", "1 hour").end.alias("timestamp"), F.col("country"),
     ).withColumnRenamed("total_transactions", "transaction_count")
-    rows = rounded(views.dashboard_timeline(hours), total_amount=4, avg_fraud_score=9)
+    rows = rounded(views.dashboard_timeline(hours), total_amount=4, avg_fraud_score=12)
     return rows.withColumn("timestamp", text("timestamp"))
 
 
@@ -797,7 +793,7 @@ def stream_scored(spark, sf_dir):
 @query
 def microbatch_country_stats(spark, sf_dir):
     rows = sinks.read_batches(spark, speed_outputs(spark, sf_dir), "dashboard_stats")
-    return rounded(rows.drop("batch_id"), total_amount=4, avg_fraud_score=9).withColumn(
+    return rounded(rows.drop("batch_id"), total_amount=4, avg_fraud_score=12).withColumn(
         "timestamp", text("timestamp"))
 
 
