@@ -53,7 +53,7 @@ class Settings:
     kafka_bootstrap_servers: str = "localhost:9092"
     kafka_topic_transactions: str = "transactions"
     kafka_topic_fraud_alerts: str = "fraud-alerts"
-    kafka_consumer_group: str = "fraud-detection-group"
+    kafka_consumer_group: str = "risk-scoring"
     max_offsets_per_trigger: int = 1000
     trigger_interval: str = "5 seconds"
     watermark_delay: str = "30 seconds"
@@ -61,7 +61,7 @@ class Settings:
     window_slide: str = "30 seconds"
     dedup_window: str = "300 seconds"
     mongodb_uri: str = "mongodb://localhost:27017"
-    mongodb_database: str = "fraud_detection"
+    mongodb_database: str = "transaction_risk"
     realtime_ttl_seconds: int = 3600
     fraud_threshold: float = 0.7
     velocity_window_seconds: int = 300
