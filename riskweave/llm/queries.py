@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, quality, simhash
+from riskweave.llm import bpe, pii, quality, sharding, simhash
 from riskweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,13 +24,33 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.PATTERN)
 
 
+def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text with pseudonyms, and the number of values replaced by kind."""
+    found = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = {"emails": ["email"], "ips": ["ip"], "phones": ["phone"], "cards": ["card"],
+             "ssns": ["ssn"], "dates": ["iso_date", "month_first", "day_first"]}
+
+    def count(names: list[str]) -> Column:
+        return F.size(F.filter("_kinds", lambda kind: kind.isin(names)))
+
+    return found.select("doc_id", "text", *[count(names).alias(f"n_{kind}")
+                                            for kind, names in kinds.items()])
+
+
+def op8_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 shards of nearly equal bytes; texts that are equal share a shard."""
+    return sharding.by_bytes(table(spark, sf_dir, "documents"), 24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", "fingerprint", "component_id")
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op5_byte_bpe, op10_simhash)}
+    return {f.__name__: f for f in (op1_quality_rules, op5_byte_bpe, op7_pii_pseudonyms, op8_minimax_shards, op10_simhash)}
 
 
 def all_oracles() -> dict[str, str]:
