@@ -8,9 +8,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, pii, quality, sharding, simhash
+from riskweave.llm import bpe, pii, quality, sharding, simhash, urlfilter
 from riskweave.llm.common import table
 
+# Rules and block list of the URL query.
+URL_RULES = (
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+)
+BLOCKED_SITES = tuple(f"{site}.example.{top}" for top in ("com", "net", "org") for site in (
+    "ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"))
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -24,6 +35,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.PATTERN)
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "key string, verdict string")
+    blocked = spark.createDataFrame([(s,) for s in BLOCKED_SITES], "key string")
+    return urlfilter.judge(table(spark, sf_dir, "pages"), rules, blocked)
+
+
 def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text with pseudonyms, and the number of values replaced by kind."""
     found = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -49,9 +66,35 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+URL_SQL = r"""
+WITH cut AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '^.*?://([^/?#]*)([^?#]*)', 2, 's'), '') AS path
+  FROM pages),
+rules(h, p, rule, verdict) AS (VALUES
+  ('org', '/', 'org/', 'allow'), ('example.org', '/es/', 'example.org/es/', 'block'),
+  ('example.org', '/en/1', 'example.org/en/1', 'block'), ('com', '/fr/', 'com/fr/', 'allow'),
+  ('com', '/de/', 'com/de/', 'block')),
+best AS (
+  SELECT c.page_id, arg_max(r.rule, length(r.rule)) AS rule,
+    arg_max(r.verdict, length(r.rule)) AS verdict
+  FROM cut c JOIN rules r ON (c.host = r.h OR ends_with(c.host, '.' || r.h))
+    AND starts_with(c.path, r.p)
+  GROUP BY c.page_id)
+SELECT c.page_id, c.host, c.path, b.rule,
+  coalesce(b.verdict, CASE WHEN regexp_matches(c.host,
+    '(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.example\.(com|net|org)$')
+    THEN 'block' ELSE 'allow' END) AS verdict
+FROM cut c LEFT JOIN best b ON c.page_id = b.page_id
+"""
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op5_byte_bpe, op7_pii_pseudonyms, op8_minimax_shards, op10_simhash)}
+    return {f.__name__: f for f in (op1_quality_rules, op5_byte_bpe, op6_url_filters,
+                                      op7_pii_pseudonyms, op8_minimax_shards, op10_simhash)}
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return {"op6_url_filters": URL_SQL}
