@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, langid, pii, quality, sharding, simhash, urlfilter
+from riskweave.llm import bpe, langid, pii, quality, sharding, simhash, toxicity, urlfilter
 from riskweave.llm.common import table
 
 # Rules and block list of the URL query.
@@ -29,6 +29,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_hd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -96,7 +100,7 @@ FROM cut c LEFT JOIN best b ON c.page_id = b.page_id
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_hd_language, op5_byte_bpe, op6_url_filters,
+    return {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_hd_language, op5_byte_bpe, op6_url_filters,
                                       op7_pii_pseudonyms, op8_minimax_shards, op10_simhash)}
 
 
