@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, langid, pii, quality, sharding, simhash, toxicity, urlfilter
+from riskweave.llm import bpe, decontam, langid, pii, quality, sharding, simhash, toxicity, urlfilter
 from riskweave.llm.common import table
 
 # Rules and block list of the URL query.
@@ -37,6 +37,12 @@ def op3_hd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that it contains."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"),
                              public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -100,7 +106,8 @@ FROM cut c LEFT JOIN best b ON c.page_id = b.page_id
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_hd_language, op5_byte_bpe, op6_url_filters,
+    return {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_hd_language,
+                                      op4_decontamination, op5_byte_bpe, op6_url_filters,
                                       op7_pii_pseudonyms, op8_minimax_shards, op10_simhash)}
 
 
