@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, decontam, langid, pii, quality, sharding, simhash, toxicity, urlfilter
+from riskweave.llm import bpe, decontam, langid, pii, quality, repeats, sharding, simhash, toxicity, urlfilter
 from riskweave.llm.common import table
 
 # Rules and block list of the URL query.
@@ -75,6 +75,10 @@ def op8_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_run_length_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", "fingerprint", "component_id")
@@ -108,7 +112,8 @@ FROM cut c LEFT JOIN best b ON c.page_id = b.page_id
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_hd_language,
                                       op4_decontamination, op5_byte_bpe, op6_url_filters,
-                                      op7_pii_pseudonyms, op8_minimax_shards, op10_simhash)}
+                                      op7_pii_pseudonyms, op8_minimax_shards, op9_run_length_dedup,
+                                      op10_simhash)}
 
 
 def all_oracles() -> dict[str, str]:
