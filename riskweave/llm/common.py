@@ -56,6 +56,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def bucket_of(column: Column, n: int) -> Column:
     """crc32 of a column's text, modulo n; null counts as empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % n

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.llm.common import free_name
+
 KEY = "riskweave"
 ROUNDS = 4  # of two half rounds each
 CYCLE_START = "2000-03-01"
@@ -241,21 +243,25 @@ def replaced(value: Column, kind: Column, key: str, inverse: bool) -> Column:
             .otherwise(value))
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, inverse: bool = False) -> DataFrame:
-    """All columns, ``text`` with pseudonyms, and ``_kinds``: array of the kinds replaced."""
+def pseudonymise(docs: DataFrame, key: str = KEY, inverse: bool = False,
+                 kinds: str | None = None) -> DataFrame:
+    """All columns, ``text`` with pseudonyms. ``kinds`` names a new column for the array of
+    the kinds that were replaced."""
     text = F.col("text")
+    found, pairs, names = (free_name(docs, n) for n in ("found", "pairs", "kinds"))
     some = text.rlike("[0-9@]") & text.rlike(ANY)
     none = F.array().cast("array<string>")
-    cut = docs.withColumn("_found", F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
+    cut = docs.withColumn(found, F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
                           .otherwise(none)).withColumn(
-        "_pairs", F.transform("_found", lambda v: F.struct(v.alias("v"), kind_of(v).alias("k"))))
-    new = F.transform("_pairs", lambda p: replaced(p["v"], p["k"], key, inverse))
+        pairs, F.transform(found, lambda v: F.struct(v.alias("v"), kind_of(v).alias("k"))))
+    new = F.transform(pairs, lambda p: replaced(p["v"], p["k"], key, inverse))
     joined = F.array_join(F.zip_with(
         F.split(text, ANY), F.concat(new, F.array(F.lit(""))),
         lambda gap, value: F.concat(gap, value)), "")
-    kinds = F.filter(F.transform("_pairs", lambda p: p["k"]), lambda k: k.isNotNull())
-    return cut.withColumn("_kinds", kinds).withColumn(
-        "text", F.when(F.size("_kinds") > 0, joined).otherwise(text)).drop("_found", "_pairs")
+    valid = F.filter(F.transform(pairs, lambda p: p["k"]), lambda k: k.isNotNull())
+    out = cut.withColumn(names, valid).withColumn(
+        "text", F.when(F.size(names) > 0, joined).otherwise(text)).drop(found, pairs)
+    return out.withColumnRenamed(names, kinds) if kinds else out.drop(names)
 
 
 def restore(docs: DataFrame, key: str = KEY) -> DataFrame:

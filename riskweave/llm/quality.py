@@ -16,6 +16,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 from functools import cached_property
+from operator import eq
 from typing import NamedTuple
 
 import numpy as np
@@ -68,6 +69,11 @@ class Text:
     def n_dup_lines(self) -> int:
         return len(self.lines) - len(set(self.lines))
 
+    @cached_property
+    def n_stutters(self) -> int:
+        """Words equal to the word before."""
+        return sum(map(eq, self.words, self.words[1:]))
+
     @cached_property
     def n_repeat_words(self) -> int:
         return repeated_words(self.words, WINDOW)
@@ -109,7 +115,8 @@ RULES = (
     Rule("repeated_windows", lambda t: 100 * t.n_repeat_words > 30 * t.n_words),
     Rule("symbols", lambda t: 10 * t.n_symbols > 3 * t.n_words),
     Rule("emphasis", lambda t: 10 * t.n_emphasis > 3 * t.n_words),
-    Rule("duplicate_lines", lambda t: 10 * t.n_dup_lines > 3 * len(t.lines)),
+    Rule("duplicate_lines", lambda t: 10 * (t.n_dup_lines - 1) > 3 * len(t.lines)),
+    Rule("stutter", lambda t: 10 * t.n_stutters > 3 * t.n_words),
     Rule("word_length", lambda t: not 2 * t.n_words <= t.word_chars <= 20 * t.n_words),
 )
 BASE_RULES = RULES[:2]

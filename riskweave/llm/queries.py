@@ -57,7 +57,8 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text with pseudonyms, and the number of values replaced by kind."""
-    found = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                             kinds="_kinds")
     kinds = {"emails": ["email"], "ips": ["ip"], "phones": ["phone"], "cards": ["card"],
              "ssns": ["ssn"], "dates": ["iso_date", "month_first", "day_first"]}
 
@@ -109,6 +110,43 @@ FROM cut c LEFT JOIN best b ON c.page_id = b.page_id
 """
 
 
+QUALITY_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 6)) AS i, w[i:i + 7] AS win
+  FROM cut WHERE len(w) >= 8),
+twice AS (
+  SELECT doc_id, unnest(list(i)) AS i FROM windows GROUP BY doc_id, win HAVING count(*) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT j) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 8)) AS j FROM twice) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM cut)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+base AS (
+  SELECT c.doc_id, len(w)::BIGINT AS n_words,
+    length(array_to_string(w, ''))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    length(regexp_replace(text, '[^!?]', '', 'g'))::BIGINT AS emphasis,
+    len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS stutters,
+    coalesce(l.dup, 0)::BIGINT AS n_dup_lines, coalesce(l.n, 0) AS n_lines,
+    coalesce(v.n, 0)::BIGINT AS n_repeat_words
+  FROM cut c LEFT JOIN lines l ON c.doc_id = l.doc_id
+  LEFT JOIN covered v ON c.doc_id = v.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 10 * n_symbols > 3 * n_words
+    OR 10 * emphasis > 3 * n_words OR 10 * (n_dup_lines - 1) > 3 * n_lines
+    OR 10 * stutters > 3 * n_words
+    OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
+FROM base
+"""
+
+
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_hd_language,
                                       op4_decontamination, op5_byte_bpe, op6_url_filters,
@@ -117,4 +155,4 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op6_url_filters": URL_SQL}
+    return {"op1_quality_rules": QUALITY_SQL, "op6_url_filters": URL_SQL}

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import map_rows, written
+from riskweave.llm.common import free_name, map_rows, written
 
 RADIUS = 2
 BITS = 64
@@ -159,5 +159,6 @@ def keep_first(docs: DataFrame) -> DataFrame:
     A doc_id that is repeated stays once per row. Null ids are kept as they are.
     """
     classes = near_duplicates(docs.where("doc_id IS NOT NULL"))
-    gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), docs.doc_id == F.col("_gone"), "left_anti")
+    name = free_name(docs, "gone")
+    gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias(name))
+    return docs.join(gone.distinct(), docs["doc_id"] == F.col(name), "left_anti")
