@@ -8,7 +8,6 @@ from datetime import datetime, timezone
 from riskweave.plans import batch, stream
 from riskweave.session import build_session, use_rocksdb_state
 from riskweave.settings import Settings
-from riskweave.sources import stores
 from riskweave.streaming import speed
 
 
@@ -29,8 +28,9 @@ def main(argv: list[str] | None = None) -> None:
     spark, settings = build_session(f"riskweave-{args.job}"), Settings.from_env()
     if args.job == "batch":
         now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
-        done = batch.run(spark, stores.read_master(spark, args.input), args.output, now,
-                         settings, train_model=not args.no_model)
+        valid, rejected = batch.read_valid(spark, args.input)
+        done = batch.run(spark, valid, args.output, now, settings,
+                         train_model=not args.no_model, rejected=rejected)
         print(done.summary)
         return
     use_rocksdb_state(spark)

@@ -295,6 +295,8 @@ def all_oracles() -> dict[str, str]:
     out["serving_alert_cap"] = _sql("""SELECT transaction_id, user_id,
         round(score, 6) AS fraud_score FROM sb WHERE hit
         ORDER BY score DESC, event_ts DESC, transaction_id LIMIT 10000""", DAY)
+    out["serving_alerts"] = _sql("""SELECT transaction_id, user_id,
+        round(score, 6) AS fraud_score FROM sb WHERE hit""", DAY)
     out["metadata_latest"] = _sql(f"""SELECT 'last_batch_timestamp' AS key,
         {ts("date_trunc('day', max(event_ts))")} AS value,
         {ts('arg_max(proc_day, day)')} AS updated_at
@@ -333,6 +335,7 @@ def all_oracles() -> dict[str, str]:
 
     out["score_stream"] = _scored("ss", LIVE)
     out["score_sql"] = out["score_processor"] = _scored("sc", SQL_SCORE)
+    out["score_sql_rescored"] = out["score_sql"]
     out["score_job"] = _scored(
         "sc", _simple_score("coalesce(c.risk, 0.5::DOUBLE)", "jc", "jm"))
     out["score_simple"] = _scored("sc", _simple_score(
@@ -416,6 +419,7 @@ def all_oracles() -> dict[str, str]:
         {N} AS total, {_n('hit')} AS fraud_count, round(avg(score), 12) AS avg_score
         FROM ss WHERE event_ts >= {AS_OF} - INTERVAL 24 HOUR GROUP BY 1""", LIVE)
     out["transactions_by_country"] = _sql(_country_top("ss", 20), LIVE)
+    out["transactions_by_country_fallback"] = _sql(_country_top("sb", 20), DAY)
     out["by_country"] = _sql(_country_top("ss", 8, "coalesce(country, 'Unknown')"), LIVE)
     out["by_country_15"] = _sql(
         _country_top("(SELECT * FROM ss WHERE hit)", 15), LIVE)
@@ -509,6 +513,13 @@ def all_oracles() -> dict[str, str]:
         max(d) AS max_delay FROM ({late}) GROUP BY 1""")
     out["quality_report"] = _sql(f"""SELECT coalesce(reason, 'valid') AS outcome, {N} AS messages
         FROM chk GROUP BY 1""", FAULTS)
+    out["batch_rejected"] = _sql(f"""SELECT reason, {N} AS messages FROM chk
+        WHERE reason IS NOT NULL GROUP BY 1""", FAULTS)
+    delay = """(CAST(floor(epoch(proc_ts)) AS BIGINT)
+        - CAST(floor(epoch(event_ts)) AS BIGINT))"""
+    out["late_events"] = _sql(f"""SELECT transaction_id, {delay} AS delay_seconds,
+        CASE WHEN {delay} <= 300 THEN 'late' ELSE 'too_late' END AS lateness
+        FROM txn WHERE {delay} > 30""")
     out["dead_letter"] = _sql(
         "SELECT transaction_id, reason FROM chk WHERE reason IS NOT NULL", FAULTS)
     out["rejection_rate"] = _sql(f"""SELECT {N} AS total, {_n('reason IS NOT NULL')} AS rejected,
@@ -556,6 +567,15 @@ def all_oracles() -> dict[str, str]:
         CAST('0x' || substr(md5(transaction_id), 1, 8) AS BIGINT) % 100 < 80 AS in_train
         FROM ded WHERE label IN ('normal', 'fraud')""")
 
+    held_out = f"""SELECT '%s' AS features, true AS learned, {N} AS held_out,
+        {_n("label = 'fraud'")} AS held_out_fraud FROM ded WHERE label IN ('normal', 'fraud')
+        AND CAST('0x' || substr(md5(transaction_id), 1, 8) AS BIGINT) % 100 >= 80"""
+    out["model_eval"] = _sql(
+        held_out.replace("%s", "history") + " UNION ALL " + held_out.replace("%s", "online"))
+    out["stream_model_score"] = _sql(
+        """SELECT transaction_id, round(score, 6) AS fraud_score, true AS consistent
+        FROM rs""", RAW_STREAM)
+
     outcome = """(SELECT 'stream' AS layer,
         CASE WHEN reason IS NULL THEN 'success' ELSE 'error' END AS status, seen_ts FROM chk)"""
     out["metric_transactions"] = _sql(

@@ -7,6 +7,7 @@ compared value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,7 @@ from riskweave.schema import ALERT_COLUMNS
 from riskweave.sources import events, stores
 from riskweave.sources.risk_tables import constant_table
 from riskweave.streaming import sinks, speed
+from riskweave.times import moment
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +38,10 @@ LAST_BATCH = datetime(2024, 1, 25)
 # One day of history makes the velocity rules fire on the sparse test tables.
 DAY = 86_400
 A_USER = "USER_00007"
+# The model queries train on tables of any size and state a bound that a useless model
+# would miss.
+SMALL_TRAINING = replace(DEFAULTS, min_training_rows=1)
+LEAST_AUC = 0.8
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -52,7 +58,7 @@ def all_queries() -> dict[str, Query]:
 # ---- shared frames -------------------------------------------------------------------
 
 def as_of() -> Column:
-    return F.lit(AS_OF).cast("timestamp")
+    return moment(AS_OF)
 
 
 def text(column: str | Column, micros: bool = False) -> Column:
@@ -81,6 +87,15 @@ def unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.first_arrivals(raw(spark, sf_dir))
 
 
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stored table, for plans that read it more than once."""
+    return staged(spark, unique(spark, sf_dir), "transactions")
+
+
+def large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.large_users(raw(spark, sf_dir))
+
+
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write a frame that is read several times to the shared folder and read it back."""
     path = work_path(spark, name)
@@ -93,7 +108,7 @@ def with_is_fraud(df: DataFrame) -> DataFrame:
 
 
 def batch_rows(spark: SparkSession, sf_dir: str, window_seconds: int = DAY) -> DataFrame:
-    return batch_plan.scored(unique(spark, sf_dir), window_seconds)
+    return batch_plan.scored(stored(spark, sf_dir), window_seconds, large=large(spark, sf_dir))
 
 
 def realtime_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +153,8 @@ def messages_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table as a stream of transactions that went through the wire format."""
     source = events.to_transactions(events.stream_events(spark, sf_dir))
-    return speed.to_transactions(stores.kafka_envelope(events.to_messages(source)))
+    return speed.to_transactions(stores.kafka_envelope(events.to_messages(source)),
+                                 F.col("processing_timestamp"))
 
 
 def run_stream(spark: SparkSession, name: str, stream: DataFrame,
@@ -246,10 +262,17 @@ def alert_envelope(spark, sf_dir):
 
 @query
 def serving_alert_cap(spark, sf_dir):
-    capped = serving.serving_cap(batch_rows(spark, sf_dir))
+    capped = serving.serving_cap(batch_rows(spark, sf_dir), 10_000)
     return capped.select("transaction_id", "user_id", r6("fraud_score").alias("fraud_score"))
 
 
+@query
+def serving_alerts(spark, sf_dir):
+    """All alerts of the batch layer, as they are published."""
+    alerts = batch_rows(spark, sf_dir).filter("is_fraud_predicted")
+    return alerts.select("transaction_id", "user_id", r6("fraud_score").alias("fraud_score"))
+
+
 @query
 def metadata_latest(spark, sf_dir):
     """One batch run per day of data; the newest value of each key."""
@@ -345,6 +368,13 @@ for _name in ("stream", "sql", "job", "processor", "simple"):
     query(_profile_query(_name))
 
 
+@query
+def score_sql_rescored(spark, sf_dir):
+    """A second profile over rows that another one scored before."""
+    first = scoring.score(with_is_fraud(unique(spark, sf_dir)), "stream")
+    return scored_columns(scoring.score(first, "sql"))
+
+
 @query
 def score_batch(spark, sf_dir):
     return scored_columns(batch_rows(spark, sf_dir, 300))
@@ -357,7 +387,7 @@ def score_batch_86400(spark, sf_dir):
 
 @query
 def score_scorer(spark, sf_dir):
-    rows = history.velocity(unique(spark, sf_dir), DAY)
+    rows = history.velocity(stored(spark, sf_dir), DAY, large=large(spark, sf_dir))
     scored = scoring.score_features(scoring.score(rows, "scorer"))
     return scored.select(
         "transaction_id", r6("fraud_score").alias("fraud_score"), "is_fraud_predicted",
@@ -450,7 +480,7 @@ def profile_enriched(spark, sf_dir):
 def new_country_for_user(spark, sf_dir):
     """Transactions since the last batch run, against the profiles of that run."""
     txns = unique(spark, sf_dir)
-    cut = F.lit(LAST_BATCH).cast("timestamp")
+    cut = moment(LAST_BATCH)
     known = profiles.user_profiles(txns.filter(F.col("event_timestamp") < cut), cut)
     recent = txns.filter(F.col("event_timestamp") >= cut)
     return profiles.unusual_countries(recent, known).select(
@@ -467,7 +497,8 @@ def amount_zscore(spark, sf_dir):
 
 def _velocity_query(seconds: int) -> Query:
     def run(spark, sf_dir):
-        return history.velocity(unique(spark, sf_dir), seconds).select(
+        return history.velocity(stored(spark, sf_dir), seconds,
+                                large=large(spark, sf_dir)).select(
             "transaction_id", "velocity_count", r4("velocity_amount").alias("velocity_amount")
         )
 
@@ -481,7 +512,7 @@ query(_velocity_query(DAY))
 
 @query
 def time_since_last(spark, sf_dir):
-    return history.time_since_last(unique(spark, sf_dir)).select(
+    return history.time_since_last(stored(spark, sf_dir), large=large(spark, sf_dir)).select(
         "transaction_id", text("prev_timestamp", True).alias("prev_at"), "time_since_last"
     )
 
@@ -522,7 +553,15 @@ def fraud_rate_over_time(spark, sf_dir):
 @query
 def transactions_by_country(spark, sf_dir):
     rows = serving.transactions_by_country(
-        realtime_rows(spark, sf_dir), batch_rows(spark, sf_dir))
+        realtime_rows(spark, sf_dir), batch_rows(spark, sf_dir), True)
+    return rounded(rows, total_amount=4, fraud_rate=9)
+
+
+@query
+def transactions_by_country_fallback(spark, sf_dir):
+    """The batch layer answers while the realtime table is empty."""
+    rows = serving.transactions_by_country(
+        realtime_rows(spark, sf_dir).limit(0), batch_rows(spark, sf_dir), False)
     return rounded(rows, total_amount=4, fraud_rate=9)
 
 
@@ -695,7 +734,7 @@ def layer_stats(spark, sf_dir):
         "realtime_views": live,
         "fraud_alerts": live.filter("is_fraud_predicted"),
         "user_profiles": profiles.user_features(txns),
-    }, text(F.lit(LAST_BATCH).cast("timestamp")))
+    }, text(moment(LAST_BATCH)))
 
 
 # ---- quality -------------------------------------------------------------------------
@@ -719,6 +758,22 @@ def dead_letter(spark, sf_dir):
         F.regexp_extract("raw_value", "TXN-[0-9]+", 0).alias("transaction_id"), "reason")
 
 
+@query
+def batch_rejected(spark, sf_dir):
+    """Faulty messages that the batch job finds in the landing folder."""
+    root = work_path(spark, "faulty")
+    messages_with_faults(spark, sf_dir).write.text(root)
+    _, rejected = batch_plan.read_valid(spark, root)
+    return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query
+def late_events(spark, sf_dir):
+    """Every event that arrived late, with its class."""
+    return quality.lateness(raw(spark, sf_dir)).filter("lateness <> 'on_time'").select(
+        "transaction_id", "delay_seconds", "lateness")
+
+
 @query
 def rejection_rate(spark, sf_dir):
     checked = quality.validate(quality.parse_messages(messages_with_faults(spark, sf_dir)))
@@ -826,33 +881,36 @@ def training_set(spark, sf_dir):
 
 @query
 def model_eval(spark, sf_dir):
-    """Both feature lists, trained on the batch rows and measured on the held-out part."""
+    """Both feature lists, trained on the batch rows and measured on the held-out part.
+    ``learned`` says whether the area under the curve is above LEAST_AUC."""
     # Training passes over its input many times, so the features are written once.
     rows = staged(spark, batch_rows(spark, sf_dir), "features")
     held_out = model.training_set(rows).filter(~model.in_train_part(DEFAULTS.train_share))
     out = None
     for name, features in (("history", model.HISTORY_FEATURES),
                            ("online", model.ONLINE_FEATURES)):
-        trained = model.train(rows, features)
+        trained = model.train(rows, features, SMALL_TRAINING)
         part = model.predict(trained.model, held_out).agg(
-            F.lit(name).alias("features"), F.lit(round(trained.auc, 6)).alias("auc"),
-            F.count(F.lit(1)).alias("held_out"),
-            F.count_if(F.col("prediction") == F.col("label")).alias("correct"))
+            F.lit(name).alias("features"), F.lit(trained.auc > LEAST_AUC).alias("learned"),
+            F.count("fraud_probability").alias("held_out"),
+            F.count_if(F.col("label") == 1).alias("held_out_fraud"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
 @query
 def stream_model_score(spark, sf_dir):
-    """A model saved by the batch side, loaded and applied to the stream."""
-    features = scoring.score(unique(spark, sf_dir), "stream").withColumn(
-        "velocity_count", F.lit(0))
-    trained = model.train(staged(spark, features, "features"), model.ONLINE_FEATURES)
+    """A model trained on what a stream can compute, saved by the batch side, loaded and
+    applied to the stream. ``consistent``: its decision is that of its probability."""
+    features = scoring.score(unique(spark, sf_dir), "stream")
+    trained = model.train(staged(spark, features, "features"), model.STREAM_FEATURES,
+                          SMALL_TRAINING)
     fitted = model.load(model.save(trained.model, work_path(spark, "model"), AS_OF))
-    live = stream_rows(spark, sf_dir).withColumn("velocity_count", F.lit(0))
-    rows = run_stream(spark, "modelled", model.predict_or_rules(live, fitted))
+    rows = run_stream(spark, "modelled", model.predict_or_rules(
+        stream_rows(spark, sf_dir), fitted))
+    decided = (F.col("fraud_probability") > 0.5) == (F.col("prediction") == 1)
     return rows.select("transaction_id", r6("fraud_score").alias("fraud_score"),
-                       r6("fraud_probability").alias("fraud_probability"), "prediction")
+                       decided.alias("consistent"))
 
 
 # ---- metrics -------------------------------------------------------------------------

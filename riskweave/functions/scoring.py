@@ -132,8 +132,16 @@ def profile(name: str, threshold: float | None = None) -> Profile:
     return found if threshold is None else replace(found, threshold=threshold)
 
 
-def score_column(rules: Profile, columns: list[str]) -> Column:
-    """Clamped sum of the two weighted risks and of every term whose input exists."""
+def score_column(rules: Profile, columns: list[str],
+                 absent: tuple[str, ...] = ()) -> Column:
+    """Clamped sum of the two weighted risks and of all terms.
+
+    A term counts as zero only if its input is named in ``absent``; an input that is
+    missing otherwise is an error, as it would lower every score unseen.
+    """
+    missing = {t.column for t in rules.terms} - set(columns) - set(absent)
+    if missing:
+        raise ValueError(f"profile {rules.name} needs {', '.join(sorted(missing))}")
     parts = [
         F.col("country_risk") * COUNTRY_WEIGHT,
         F.col("merchant_risk") * CATEGORY_WEIGHT,
@@ -149,24 +157,25 @@ def add_velocity_flag(df: DataFrame, high_amount: float = 1000.0) -> DataFrame:
 
 
 def score(df: DataFrame, rules: Profile | str, country_table: DataFrame | None = None,
-          category_table: DataFrame | None = None) -> DataFrame:
+          category_table: DataFrame | None = None, absent: tuple[str, ...] = (),
+          high_amount: float = 1000.0) -> DataFrame:
     """Add both risks, ``fraud_score`` and ``is_fraud_predicted``.
 
-    Terms whose input column the frame lacks count as zero, like absent fields of a
-    message. The frame may be a stream.
+    Risks, scores and flags of an earlier scoring are replaced: every profile has its own
+    tables and defaults. ``absent`` names inputs that the frame lacks and that count as
+    zero. The frame may be a stream.
     """
     rules = profile(rules) if isinstance(rules, str) else rules
     spark = df.sparkSession
     if rules.name == "stream":
-        df = add_velocity_flag(df)
-    if "country_risk" not in df.columns:
-        df = add_risk(
-            df,
-            country_risk(spark, rules.countries) if country_table is None else country_table,
-            category_risk(spark, rules.categories) if category_table is None else category_table,
-            rules.country_default(), rules.unknown_category,
-        )
-    return df.withColumn("fraud_score", score_column(rules, df.columns)).withColumn(
+        df = add_velocity_flag(df, high_amount)
+    df = add_risk(
+        df.drop("country_risk", "merchant_risk"),
+        country_risk(spark, rules.countries) if country_table is None else country_table,
+        category_risk(spark, rules.categories) if category_table is None else category_table,
+        rules.country_default(), rules.unknown_category,
+    )
+    return df.withColumn("fraud_score", score_column(rules, df.columns, absent)).withColumn(
         "is_fraud_predicted", F.col("fraud_score") >= rules.threshold
     )
 

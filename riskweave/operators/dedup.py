@@ -8,18 +8,20 @@ from pyspark.sql import functions as F
 
 def first_arrivals(txns: DataFrame, key: str = "transaction_id",
                    arrived: str = "processing_timestamp") -> DataFrame:
-    """Keep the earliest arrival of every id.
+    """Keep the earliest arrival of every id, and every row without an id.
 
     ``row_number() = 1`` lets Spark cut each map task's rows to one per id before the
     shuffle, so an id with very many copies sends one row per map task. Rows that tie
     on arrival are ordered by their content, which keeps reruns identical.
     """
     tie = F.xxhash64(*[c for c in txns.columns if c != key])
-    w = Window.partitionBy(key).orderBy(F.col(arrived).asc_nulls_last(), tie)
+    # Rows without an id are no copies of each other and must not meet in one task.
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    w = Window.partitionBy(key, "_alone").orderBy(F.col(arrived).asc_nulls_last(), tie)
     return (
-        txns.withColumn("_arrival", F.row_number().over(w))
+        txns.withColumn("_alone", alone).withColumn("_arrival", F.row_number().over(w))
         .filter(F.col("_arrival") == 1)
-        .drop("_arrival")
+        .drop("_arrival", "_alone")
     )
 
 

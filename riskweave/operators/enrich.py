@@ -10,23 +10,13 @@ from riskweave.settings import (
 )
 from riskweave.sources.risk_tables import constant_keys, constant_table
 
-# A lookup table is broadcast only up to this many rows; beyond it the planner decides.
-MAX_BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting at most ``max_rows`` + 1 rows of the table."""
-    if table.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(table)
-    return table
-
 
 def lookup(df: DataFrame, table: DataFrame, key: str, value: str,
            default: float | Column) -> DataFrame:
     """Left join on ``key``; ``default`` where the table has no entry.
 
-    ``table`` comes in hinted when its size is known: constants by construction, files
-    through ``broadcast_if_small``.
+    Constant tables come in hinted, as their size is known; tables from files are left to
+    the planner, which broadcasts them by their size.
     """
     default = F.lit(default) if isinstance(default, (int, float)) else default
     joined = df.join(table, key, "left")

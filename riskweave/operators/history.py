@@ -1,10 +1,11 @@
 """Per-user features that look along a user's own history.
 
-A user may own a large share of all rows, so nothing here windows over the transactions
-of a whole user. Time is cut into narrow slices and the rows are shuffled once by
-(user, slice). What a slice needs from the rest of the history is one row of a summary
-per (user, slice), built from a partially aggregated pass and joined on the key by which
-the rows are shuffled already:
+A user may own a large share of all rows, so the transactions of such a user are never
+windowed over as a whole. Their time is cut into narrow slices, and the rows are shuffled by
+(user, slice); every other user is one slice. Which users are cut comes from
+``large_users``, or all are cut; the results are the same. What a slice needs from the rest
+of the history is one row of a summary per (user, slice), built from a partially aggregated
+pass and joined on the key by which the rows are shuffled already:
 
 * velocity: a transaction counts +1 when it happens and -1 when it leaves the window. The
   total at any time is the net of all earlier slices (from the summary) plus a running
@@ -14,6 +15,7 @@ the rows are shuffled already:
 * mean and deviation: combined from the moments of all slices of the user.
 
 The windows over slices see one row per slice, a number bounded by time and not by rows.
+Rows without a user share one history. Rows without a time see each other only.
 """
 
 from __future__ import annotations
@@ -24,20 +26,42 @@ from pyspark.sql import functions as F
 from riskweave.functions.scoring import amount_flags
 from riskweave.settings import DEFAULTS, NO_PREVIOUS_SECONDS
 
-_KEYS = ["user_id", "_slice"]
+_KEYS = ["_user", "_slice"]
+# Users with more rows than this are cut into slices of time.
+LARGE_USER_ROWS = 100_000
+
+
+def large_users(rows: DataFrame, more_than: int = LARGE_USER_ROWS) -> DataFrame:
+    """Ids of the users whose history does not belong into one task. Copies may count:
+    the ids decide about the plan only. At most one id per ``more_than`` rows."""
+    return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).filter(
+        F.col("_n") > more_than).select("user_id")
+
+NO_TIME = -(1 << 62)
 
 
 def _slice_start(second: Column, width: int) -> Column:
     return second - F.pmod(second, F.lit(width))
 
 
-def _marks(df: DataFrame, window_seconds: int | None, width: int) -> DataFrame:
+def _marks(df: DataFrame, window_seconds: int | None, width: int,
+           large: DataFrame | None) -> DataFrame:
     """Every row in its slice; with a window also a slim row (-1) where it leaves."""
     second = F.unix_timestamp("event_timestamp")
+    columns = df.columns
+    if large is None:
+        df = df.withColumn("_cut", F.lit(True))
+    else:
+        # Bounded by its definition, see ``large_users``.
+        ids = F.broadcast(large.select(F.col("user_id").alias("_large")))
+        df = df.join(ids, F.col("user_id").eqNullSafe(F.col("_large")), "left").withColumn(
+            "_cut", F.col("_large").isNotNull())
 
     def mark(at: Column, step: int, real: bool) -> Column:
+        start = F.when(F.col("_cut"), _slice_start(at, width)).otherwise(F.lit(0))
         return F.struct(
-            _slice_start(at, width).alias("slice"), at.alias("at"),
+            F.when(at.isNull(), F.lit(NO_TIME)).otherwise(start).alias("slice"),
+            at.alias("at"),
             F.lit(step).alias("step"), F.lit(real).alias("real"),
         )
 
@@ -47,9 +71,11 @@ def _marks(df: DataFrame, window_seconds: int | None, width: int) -> DataFrame:
     else:
         gone = mark(second + window_seconds + 1, -1, False)
         marks = F.when(second.isNull(), F.array(here)).otherwise(F.array(here, gone))
-    payload = [c for c in df.columns if c not in ("user_id", "amount")]
+    payload = [c for c in columns if c not in ("user_id", "amount")]
+    # Plain equality on this key also brings rows without a user together.
+    user = F.coalesce(F.concat(F.lit("u"), F.col("user_id").cast("string")), F.lit("-"))
     return df.withColumn("_m", F.explode(marks)).select(
-        "user_id", "amount", *[F.col(f"_m.{c}").alias(f"_{c}")
+        user.alias("_user"), "user_id", "amount", *[F.col(f"_m.{c}").alias(f"_{c}")
                                for c in ("slice", "at", "step", "real")],
         (F.col("amount").try_cast("decimal(24,6)") * F.col("_m.step")).alias("_money"),
         *[F.when(F.col("_m.real"), F.col(c)).alias(c) for c in payload],
@@ -73,15 +99,17 @@ def _within_slices(marks: DataFrame) -> DataFrame:
 def _slice_summary(marks: DataFrame) -> DataFrame:
     """One row per (user, slice): what came before it, and the user's overall moments."""
     amount = F.when(F.col("_real"), F.col("amount"))
+    timed = F.col("_slice") != NO_TIME
     per_slice = marks.groupBy(*_KEYS).agg(
         F.count_if("_real").alias("_rows"),
-        F.sum("_step").alias("_net"), F.sum("_money").alias("_net_money"),
+        F.sum(F.when(timed, F.col("_step"))).alias("_net"),
+        F.sum(F.when(timed, F.col("_money"))).alias("_net_money"),
         F.max("event_timestamp").alias("_last"),
         F.count(amount).alias("_n"), F.avg(amount).alias("_mean"),
         F.var_pop(amount).alias("_var"),
         F.min(amount).alias("_low"), F.max(amount).alias("_high"),
     )
-    user = Window.partitionBy("user_id")
+    user = Window.partitionBy("_user")
     earlier = user.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     with_mean = per_slice.withColumns({
         "_open": F.sum("_net").over(earlier),
@@ -113,13 +141,17 @@ def zscore() -> Column:
 
 
 def history_features(df: DataFrame, window_seconds: int | None = 300,
-                     slice_seconds: int = DEFAULTS.history_slice_seconds) -> DataFrame:
+                     slice_seconds: int = DEFAULTS.history_slice_seconds,
+                     large: DataFrame | None = None) -> DataFrame:
     """All features of a user's history behind a single shuffle of the transactions.
 
+    The rows are read twice, for the windows and for the summary, so ``df`` should be a
+    stored table. ``large`` are the users to cut into slices, all if it is None.
+
     Columns a caller does not select cost nothing: the optimizer drops their windows and
     aggregates.
     """
-    marks = _marks(df, window_seconds, slice_seconds)
+    marks = _marks(df, window_seconds, slice_seconds, large)
     joined = _within_slices(marks).join(_slice_summary(marks), _KEYS, "left")
     gap = F.unix_timestamp("event_timestamp") - F.unix_timestamp("prev_timestamp")
     features = joined.withColumns({
@@ -140,18 +172,20 @@ def history_features(df: DataFrame, window_seconds: int | None = 300,
 
 
 def velocity(df: DataFrame, window_seconds: int = 300,
-             slice_seconds: int = DEFAULTS.history_slice_seconds) -> DataFrame:
+             slice_seconds: int = DEFAULTS.history_slice_seconds,
+             large: DataFrame | None = None) -> DataFrame:
     """Count and sum of the user's transactions in the last ``window_seconds`` (both
     ends included, whole seconds; transactions of the same second see each other)."""
-    return history_features(df, window_seconds, slice_seconds).select(
+    return history_features(df, window_seconds, slice_seconds, large).select(
         *df.columns, "velocity_count", "velocity_amount"
     )
 
 
 def time_since_last(df: DataFrame,
-                    slice_seconds: int = DEFAULTS.history_slice_seconds) -> DataFrame:
+                    slice_seconds: int = DEFAULTS.history_slice_seconds,
+                    large: DataFrame | None = None) -> DataFrame:
     """Previous event of the same user and the whole seconds since."""
-    return history_features(df, None, slice_seconds).select(
+    return history_features(df, None, slice_seconds, large).select(
         *df.columns, "prev_timestamp", "time_since_last"
     )
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from riskweave.functions.scoring import Profile, score
 from riskweave.settings import DEFAULTS, Settings
 from riskweave.sources.stores import append_row
+from riskweave.times import moment
 
 # The two feature lists of the model.
 HISTORY_FEATURES = (
@@ -26,6 +27,8 @@ ONLINE_FEATURES = (
     "amount", "country_risk", "merchant_risk", "is_online", "hour_of_day",
     "velocity_count",
 )
+# What the speed layer knows of a single transaction: no history.
+STREAM_FEATURES = ("amount", "country_risk", "merchant_risk", "is_online", "hour_of_day")
 
 
 @dataclass(frozen=True)
@@ -88,9 +91,10 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def predict_or_rules(df: DataFrame, model: PipelineModel | None,
-                     rules: Profile | str = "stream") -> DataFrame:
+                     rules: Profile | str = "stream", absent: tuple[str, ...] = ()
+                     ) -> DataFrame:
     """Rule scores always; the model's view beside them once there is a model."""
-    scored = score(df, rules)
+    scored = score(df, rules, absent=absent)
     return scored if model is None else predict(model, scored)
 
 
@@ -107,7 +111,7 @@ def load(path: str) -> PipelineModel:
 def register(spark: SparkSession, root: str, path: str, at: datetime, auc: float) -> None:
     """Append a row to the model registry."""
     append_row(spark, f"{root}/ml_models", {
-        "path": path, "trained_at": F.lit(at).cast("timestamp"), "auc": float(auc)})
+        "path": path, "trained_at": moment(at), "auc": float(auc)})
 
 
 def newest(spark: SparkSession, root: str) -> str | None:

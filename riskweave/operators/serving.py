@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.operators import views
+from riskweave.times import moment, naive_utc
 
 
 def merged_rows(batch_view: DataFrame, realtime_view: DataFrame,
@@ -21,14 +22,14 @@ def merged_rows(batch_view: DataFrame, realtime_view: DataFrame,
     def between(df: DataFrame, low: datetime | None, below: datetime | None) -> DataFrame:
         t = F.col("event_timestamp")
         if low is not None:
-            df = df.filter(t >= F.lit(low))
+            df = df.filter(t >= moment(low))
         if below is not None:
-            df = df.filter(t < F.lit(below))
-        return df if end is None else df.filter(t <= F.lit(end))
+            df = df.filter(t < moment(below))
+        return df if end is None else df.filter(t <= moment(end))
 
     if last_batch is None:
         return between(realtime_view, start, None).withColumn("source", F.lit("realtime"))
-    later = last_batch if start is None else max(start, last_batch)
+    later = last_batch if start is None else max(start, last_batch, key=naive_utc)
     return between(batch_view, start, last_batch).withColumn(
         "source", F.lit("batch")
     ).unionByName(
@@ -56,10 +57,10 @@ def user_profile(profiles: DataFrame, user_id: str) -> DataFrame:
 
 
 def transactions_by_country(realtime_view: DataFrame, batch_view: DataFrame,
-                            top: int = 20) -> DataFrame:
-    """Realtime rows, or batch rows while there are none."""
-    rows = batch_view if realtime_view.isEmpty() else realtime_view
-    return views.by_country(rows, top)
+                            realtime_has_rows: bool, top: int = 20) -> DataFrame:
+    """Realtime rows, or batch rows while there are none. Whether there are any is known
+    from the stored table; building the answer runs no job."""
+    return views.by_country(realtime_view if realtime_has_rows else batch_view, top)
 
 
 def expired(realtime_view: DataFrame, as_of: Column, hours: int = 2) -> Column:
@@ -79,8 +80,9 @@ def retention_counts(realtime_view: DataFrame, as_of: Column, hours: int = 2) ->
     )
 
 
-def serving_cap(alerts: DataFrame, limit: int = 10_000) -> DataFrame:
-    """The highest-scoring alerts for a store that holds only so many."""
+def serving_cap(alerts: DataFrame, limit: int) -> DataFrame:
+    """The ``limit`` highest-scoring alerts, for a store that holds only so many. An option
+    of the caller; views are published whole."""
     return alerts.filter("is_fraud_predicted").orderBy(
         F.desc("fraud_score"), F.desc("event_timestamp"), "transaction_id"
     ).limit(limit)

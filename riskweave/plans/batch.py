@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,23 +12,34 @@ from pyspark.sql import functions as F
 from riskweave.functions.scoring import profile, score
 from riskweave.operators import model, profiles, serving, views
 from riskweave.operators.dedup import first_arrivals
-from riskweave.operators.history import history_features
+from riskweave.operators.history import history_features, large_users
+from riskweave.operators.quality import (
+    TOO_LATE_AFTER, accepted, dead_letters, parse_messages, validate,
+)
 from riskweave.settings import DEFAULTS, Settings
 from riskweave.sources import stores
+from riskweave.times import moment
 
 
 def scored(txns: DataFrame, window_seconds: int | None = None,
-           s: Settings = DEFAULTS) -> DataFrame:
+           s: Settings = DEFAULTS, large: DataFrame | None = None) -> DataFrame:
     """History features, lookups and batch rules over deduplicated transactions.
 
     The lookups come after the history shuffle: they are map-side joins and their output
     need not be shuffled.
     """
     window = s.velocity_window_seconds if window_seconds is None else window_seconds
-    features = history_features(txns, window, s.history_slice_seconds)
+    features = history_features(txns, window, s.history_slice_seconds, large)
     return score(features, profile("batch", s.fraud_threshold))
 
 
+def read_valid(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Landed messages: those that pass the checks of the speed layer, and the others with
+    their text and the reason."""
+    checked = validate(parse_messages(stores.read_landed_text(spark, root)))
+    return accepted(checked), dead_letters(checked)
+
+
 @dataclass(frozen=True)
 class BatchRun:
     run_id: str
@@ -39,24 +51,27 @@ class BatchRun:
 
 def run(spark: SparkSession, transactions: DataFrame, root: str, at: datetime,
         s: Settings = DEFAULTS, train_model: bool = True,
-        serving_limit: int | None = None) -> BatchRun:
+        serving_limit: int | None = None, rejected: DataFrame | None = None) -> BatchRun:
     """Build and publish every view; the run becomes visible with its last step.
 
     Two intermediate tables are written instead of cached: the deduplicated transactions
     and the scored rows. Each later step reads only the columns it needs from them, and a
     lost executor costs the tasks at hand, not the lineage back to the raw files.
     """
-    run_id = f"{at:%Y%m%d_%H%M%S}"
-    stamp = F.lit(at).cast("timestamp")
+    # Unique, so that a rerun never overwrites a version that is being read.
+    run_id = f"{at:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
+    stamp = moment(at)
     paths: dict[str, str] = {}
 
     def put(df: DataFrame, name: str) -> DataFrame:
         paths[name] = stores.publish(df, root, name, run_id)
         return spark.read.schema(df.schema).parquet(paths[name])
 
+    if rejected is not None:
+        put(rejected, "dead_letters")
     curated = put(first_arrivals(transactions), "transactions")
     users = put(profiles.user_profiles(curated, stamp), "user_profiles")
-    rows = put(scored(curated, s=s), "scored")
+    rows = put(scored(curated, s=s, large=large_users(curated)), "scored")
     results = put(views.fraud_results(rows, stamp), "fraud_results")
     put(views.daily_stats(results).withColumn("batch_timestamp", stamp), "daily_stats")
     put(views.country_stats(results), "country_stats")
@@ -70,8 +85,12 @@ def run(spark: SparkSession, transactions: DataFrame, root: str, at: datetime,
         paths["model"] = model.save(trained.model, f"{root}/models", at)
         model.register(spark, root, paths["model"], at, trained.auc)
 
-    stores.put_metadata(spark, root, {
-        "current_run": run_id, "last_batch_timestamp": at.isoformat(),
-    }, at)
+    newest = curated.agg(F.max("event_timestamp").cast("string").alias("t")).first()["t"]
+    marks = {"current_run": run_id, "last_batch_timestamp": at.isoformat()}
+    if newest:
+        # Rows with later event times may still arrive; the realtime layer answers for them.
+        marks["complete_until"] = (datetime.fromisoformat(newest)
+                                   - timedelta(seconds=TOO_LATE_AFTER)).isoformat()
+    stores.put_metadata(spark, root, marks, at)
     return BatchRun(run_id, root, views.run_summary(results).first().asDict(),
                     trained.auc if trained else None, paths)

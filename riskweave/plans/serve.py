@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators import metrics, serving, views
-from riskweave.schema import FRAUD_RESULT_COLUMNS
 from riskweave.sources import stores
+from riskweave.times import moment
 
 # Columns both layers share in merged answers.
 REALTIME_COLUMNS = (
@@ -21,40 +21,40 @@ REALTIME_COLUMNS = (
 )
 
 
-def realtime_view(spark: SparkSession, root: str) -> DataFrame:
-    """Micro-batches not yet compacted, plus the newest compaction."""
-    compacted = _metadata(spark, root, "compacted_run")
+def realtime_view(spark: SparkSession, root: str, known: dict[str, str] | None = None,
+                  upto: int | None = None) -> DataFrame:
+    """Micro-batches not yet compacted (up to a batch, if one is given), plus the newest
+    compaction. Which is which comes from one metadata read."""
+    known = stores.metadata(spark, root) if known is None else known
     live = spark.read.parquet(f"{root}/realtime_views")
-    if compacted is None:
+    if upto is not None:
+        live = live.filter(F.col("batch_id") <= upto)
+    if "compacted_run" not in known:
         return live.select(*REALTIME_COLUMNS)
-    upto = int(_metadata(spark, root, "compacted_batch"))
-    older = spark.read.parquet(f"{root}/compacted/run_id={compacted}")
-    return live.filter(F.col("batch_id") > upto).select(*REALTIME_COLUMNS).unionByName(older)
-
-
-def _metadata(spark: SparkSession, root: str, key: str) -> str | None:
-    try:
-        return stores.get_metadata(spark, root, key)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    live = live.filter(F.col("batch_id") > int(known["compacted_batch"]))
+    older = spark.read.parquet(f"{root}/compacted/run_id={known['compacted_run']}")
+    return live.select(*REALTIME_COLUMNS).unionByName(older)
 
 
 def purge_realtime(spark: SparkSession, root: str, as_of: datetime, hours: int = 2) -> int:
     """Drop realtime rows past their retention; returns how many.
 
-    What is kept moves into a compacted table that takes effect with one metadata append.
-    Batches that arrive meanwhile are not touched.
+    What is kept of the batches before the newest moves into a compacted table that takes
+    effect with one metadata append. The newest batch may still be written, and others may
+    arrive meanwhile: all of them stay live. Without an earlier batch nothing happens.
     """
-    now = F.lit(as_of).cast("timestamp")
     newest = spark.read.parquet(f"{root}/realtime_views").agg(F.max("batch_id")).first()[0]
-    rows = realtime_view(spark, root)
+    known = stores.metadata(spark, root)
+    upto = None if newest is None else int(newest) - 1
+    if upto is None or upto <= int(known.get("compacted_batch", -1)):
+        return 0
+    now = moment(as_of)
+    rows = realtime_view(spark, root, known, upto)
     gone = serving.retention_counts(rows, now, hours).first()["deleted"]
-    run_id = f"{as_of:%Y%m%d_%H%M%S}"
+    run_id = f"{as_of:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
     stores.publish(serving.retained(rows, now, hours), root, "compacted", run_id)
     stores.put_metadata(
-        spark, root, {"compacted_run": run_id, "compacted_batch": str(newest)}, as_of)
+        spark, root, {"compacted_run": run_id, "compacted_batch": str(upto)}, as_of)
     return gone
 
 
@@ -64,46 +64,55 @@ def create_api(spark: SparkSession, batch_root: str, realtime_root: str,
     clock = clock or (lambda: datetime.now(timezone.utc).replace(tzinfo=None))
 
     def now():
-        return F.lit(clock()).cast("timestamp")
+        return moment(clock())
 
     def live() -> DataFrame:
         return realtime_view(spark, realtime_root)
 
-    def batch() -> DataFrame:
-        return stores.read_view(spark, batch_root, "fraud_results").select(
-            *FRAUD_RESULT_COLUMNS, "batch_timestamp")
-
-    def users() -> DataFrame:
-        return stores.read_view(spark, batch_root, "user_profiles")
+    def known() -> dict[str, str]:
+        return stores.metadata(spark, batch_root)
 
-    def last_batch() -> datetime | None:
-        return stores.last_batch_timestamp(spark, batch_root)
+    def batch(of: dict[str, str], view: str = "fraud_results") -> DataFrame:
+        return stores.read_view(spark, batch_root, view, of)
 
     def get_fraud_alerts(user_id=None, start_time=None, end_time=None, limit=100):
-        return serving.fraud_alerts(batch(), live(), last_batch(), end_time or clock(),
-                                    start_time, user_id, limit)
+        of = known()
+        # Only alerts are asked for, so the view that holds nothing else is read. Batch rows
+        # answer up to the event time that the run has seen completely.
+        return serving.fraud_alerts(batch(of, "batch_views"), live(),
+                                    stores.time_of(of, "complete_until"),
+                                    end_time or clock(), start_time, user_id, limit)
 
     def get_layer_stats():
-        stamp = last_batch()
+        of = known()
         return metrics.view_sizes({
-            "batch_views": stores.read_view(spark, batch_root, "batch_views"),
+            "batch_views": batch(of, "batch_views"),
             "realtime_views": live(),
             "fraud_alerts": live().filter("is_fraud_predicted"),
-            "user_profiles": users(),
-        }, F.lit(stamp.isoformat() if stamp else None))
+            "user_profiles": batch(of, "user_profiles"),
+        }, F.lit(of.get("last_batch_timestamp")))
+
+    def get_transactions_by_country():
+        rows = live()
+        # A stored table: this looks at one row of one file.
+        return serving.transactions_by_country(rows, batch(known()), not rows.isEmpty())
+
+    def get_recent_stats():
+        last = stores.time_of(known(), "last_batch_timestamp")
+        return views.recent_stats(live(), now()).withColumn(
+            "last_batch", moment(last) if last else F.lit(None).cast("timestamp"))
 
     api = {
         "get_fraud_alerts": get_fraud_alerts,
-        "get_user_profile": lambda user_id: serving.user_profile(users(), user_id),
+        "get_user_profile": lambda user_id: serving.user_profile(
+            batch(known(), "user_profiles"), user_id),
         "get_user_fraud_history":
             lambda user_id, limit=50: get_fraud_alerts(user_id=user_id, limit=limit),
         "get_fraud_rate_over_time":
             lambda hours=24: views.fraud_rate_over_time(live(), now(), hours),
-        "get_transactions_by_country":
-            lambda: serving.transactions_by_country(live(), batch()),
+        "get_transactions_by_country": get_transactions_by_country,
         "get_high_risk_users": lambda limit=10: views.high_risk_users(live(), 3, limit),
-        "get_recent_stats": lambda: views.recent_stats(live(), now()).withColumn(
-            "last_batch", F.lit(last_batch()).cast("timestamp")),
+        "get_recent_stats": get_recent_stats,
         "get_layer_stats": get_layer_stats,
     }
     api["get_live_dashboard_data"] = lambda: {

@@ -54,7 +54,9 @@ class Settings:
     kafka_topic_transactions: str = "transactions"
     kafka_topic_fraud_alerts: str = "fraud-alerts"
     kafka_consumer_group: str = "risk-scoring"
-    max_offsets_per_trigger: int = 1000
+    # Records of one trigger; sized by what the cluster handles in a trigger interval.
+    max_offsets_per_trigger: int = 500_000
+    fail_on_data_loss: bool = True
     trigger_interval: str = "5 seconds"
     watermark_delay: str = "30 seconds"
     window_duration: str = "1 minute"
@@ -81,7 +83,9 @@ class Settings:
         for field in fields(cls):
             raw = os.environ.get(field.name.upper())
             if raw is not None:
-                overrides[field.name] = type(field.default)(raw)
+                kind = type(field.default)
+                overrides[field.name] = raw.lower() in ("1", "true", "yes") if (
+                    kind is bool) else kind(raw)
         return cls(**overrides)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,7 @@ from riskweave.operators.metrics import latest_value
 from riskweave.operators.quality import add_times
 from riskweave.schema import COMPACT_TRANSACTION, TRANSACTION
 from riskweave.settings import DEFAULTS, Settings
+from riskweave.times import moment
 
 METADATA = T.StructType([
     T.StructField("key", T.StringType()),
@@ -50,7 +52,7 @@ def put_metadata(spark: SparkSession, root: str, values: dict[str, str],
         F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")) for k, v in values.items()
     ]))
     rows = spark.range(1, numPartitions=1).select(pairs.alias("p")).select(
-        "p.key", "p.value", F.lit(at).cast("timestamp").alias("updated_at")
+        "p.key", "p.value", moment(at).alias("updated_at")
     )
     rows.write.mode("append").parquet(f"{root}/system_metadata")
 
@@ -60,18 +62,36 @@ def read_metadata(spark: SparkSession, root: str) -> DataFrame:
     return latest_value(spark.read.schema(METADATA).parquet(f"{root}/system_metadata"))
 
 
+def metadata(spark: SparkSession, root: str) -> dict[str, str]:
+    """All keys with their newest values, from one read: values that one run wrote together
+    are seen together. Empty before the first run."""
+    try:
+        rows = read_metadata(spark, root).select("key", "value").collect()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {r["key"]: r["value"] for r in rows}
+
+
 def get_metadata(spark: SparkSession, root: str, key: str) -> str | None:
     row = read_metadata(spark, root).filter(F.col("key") == key).first()
     return row["value"] if row else None
 
 
-def last_batch_timestamp(spark: SparkSession, root: str) -> datetime | None:
-    value = get_metadata(spark, root, "last_batch_timestamp")
+def time_of(known: dict[str, str], key: str) -> datetime | None:
+    value = known.get(key)
     return datetime.fromisoformat(value) if value else None
 
 
-def read_view(spark: SparkSession, root: str, view: str) -> DataFrame:
-    run_id = get_metadata(spark, root, "current_run")
+def last_batch_timestamp(spark: SparkSession, root: str) -> datetime | None:
+    return time_of(metadata(spark, root), "last_batch_timestamp")
+
+
+def read_view(spark: SparkSession, root: str, view: str,
+              known: dict[str, str] | None = None) -> DataFrame:
+    """The version of a view that ``known`` (or the newest metadata) names."""
+    run_id = (metadata(spark, root) if known is None else known).get("current_run")
     if run_id is None:
         raise LookupError(f"no committed run below {root}")
     return spark.read.parquet(f"{root}/{view}/run_id={run_id}")
@@ -108,6 +128,11 @@ def read_master(spark: SparkSession, root: str) -> DataFrame:
     return add_times(read_landing(spark, root))
 
 
+def read_landed_text(spark: SparkSession, root: str) -> DataFrame:
+    """Landed lines as records with a ``value``, so that faulty ones can be told apart."""
+    return spark.read.option("recursiveFileLookup", True).text(root)
+
+
 def read_compact(spark: SparkSession, root: str) -> DataFrame:
     return read_landing(spark, root, COMPACT_TRANSACTION)
 
@@ -140,9 +165,10 @@ def kafka_source_options(s: Settings = DEFAULTS, starting_offsets: str = "latest
         "kafka.bootstrap.servers": s.kafka_bootstrap_servers,
         "subscribe": s.kafka_topic_transactions,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(s.fail_on_data_loss).lower(),
         "maxOffsetsPerTrigger": str(s.max_offsets_per_trigger),
-        "kafka.group.id": s.kafka_consumer_group,
+        # A prefix only: queries that shared one group could each get part of the records.
+        "groupIdPrefix": s.kafka_consumer_group,
     }
 
 

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskweave.operators.views import period_stats
 from riskweave.schema import ALERT_COLUMNS
 from riskweave.settings import DEFAULTS, Settings
+from riskweave.times import moment
 
 
 def write_batch(df: DataFrame, root: str, table: str, batch_id: int) -> str:
@@ -22,7 +23,7 @@ def write_batch(df: DataFrame, root: str, table: str, batch_id: int) -> str:
 
 
 def microbatch_country_stats(rows: DataFrame, batch_id: int, at: datetime | None) -> DataFrame:
-    stamp = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    stamp = F.current_timestamp() if at is None else moment(at)
     return period_stats(rows, F.col("country")).select(
         "country", F.col("total_transactions").alias("transaction_count"), "total_amount",
         "fraud_count", "avg_fraud_score", stamp.alias("timestamp"),

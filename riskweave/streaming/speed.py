@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.functions.scoring import Profile, score
+from riskweave.functions.scoring import Profile, profile, score
 from riskweave.operators.dedup import stream_first_seen
 from riskweave.operators.quality import accepted, parse_messages, validate
 from riskweave.operators.views import flagged_count, tag_windows
@@ -31,10 +31,11 @@ def read_landing_stream(spark: SparkSession, root: str, max_files: int = 100) ->
     )
 
 
-def to_transactions(records: DataFrame) -> DataFrame:
-    """Valid records as transactions; their arrival becomes the processing time."""
+def to_transactions(records: DataFrame, arrival: Column | None = None) -> DataFrame:
+    """Valid records as transactions. Their processing time is the clock of the job, not of
+    the sender; replays of recorded input pass another ``arrival``."""
     return accepted(validate(parse_messages(records))).withColumn(
-        "processing_time", F.col("processing_timestamp")
+        "processing_time", F.current_timestamp() if arrival is None else arrival
     )
 
 
@@ -42,7 +43,9 @@ def score_stream(stream: DataFrame, rules: Profile | str = "stream",
                  s: Settings = DEFAULTS) -> DataFrame:
     """Watermark, stateful dedup, lookup joins, window tag, rule score."""
     unique = stream_first_seen(stream, s.watermark_delay)
-    return score(tag_windows(unique, s.window_duration), rules)
+    if isinstance(rules, str):
+        rules = profile(rules, s.fraud_threshold)
+    return score(tag_windows(unique, s.window_duration), rules, high_amount=s.high_amount)
 
 
 def window_stats(stream: DataFrame, s: Settings = DEFAULTS, duration: str | None = None,

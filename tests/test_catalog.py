@@ -6,8 +6,11 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import connect, differences
+from riskweave.catalog.oracle import all_oracles
+from riskweave.catalog.queries import all_queries
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+# The corpus operators have tests of their own.
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -20,9 +23,10 @@ def test_same_as_duckdb(spark, sf_dir, duck, name):
     assert differences(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) == []
 
 
-def test_only_models_lack_sql():
-    assert set(QUERIES) - set(ORACLES) == {"model_eval", "stream_model_score"}
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_sql_and_is_registered():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 def test_entry_has_rows_and_a_stable_schema(spark):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of
 from riskweave.operators import dedup, enrich, quality
+from riskweave.plans import batch
 
 GOOD = {
     "transaction_id": "a", "user_id": "u", "amount": 1.5, "merchant_id": "m",
@@ -48,13 +49,21 @@ def test_blacklist(make_txns):
     assert enrich.flag_blacklisted(df).filter("is_blacklisted").count() == 1
 
 
-def test_large_lookup_tables_are_not_hinted(spark):
-    table = spark.range(50)
-    df = spark.range(5)
-    hinted = df.join(enrich.broadcast_if_small(table, 50), "id")
-    plain = df.join(enrich.broadcast_if_small(table, 49), "id")
-    assert "strategy=broadcast" in hinted._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" not in plain._jdf.queryExecution().analyzed().toString()
+def test_rows_without_an_id_are_all_kept(make_txns):
+    df = make_txns([{"transaction_id": None}, {"transaction_id": None}, {"transaction_id": "A"},
+                    {"transaction_id": "A"}])
+    assert dedup.first_arrivals(df).count() == 3
+
+
+def test_batch_reads_valid_messages_and_keeps_the_others(spark, tmp_path):
+    lines = [json.dumps(GOOD), json.dumps({**GOOD, "amount": -5.0}), "nope",
+             json.dumps({k: v for k, v in GOOD.items() if k != "transaction_id"})]
+    path = str(tmp_path / "landing" / "year=2024")
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    valid, rejected = batch.read_valid(spark, str(tmp_path / "landing"))
+    assert valid.count() == 1
+    assert {r["reason"] for r in rejected.collect()} == {
+        "amount not positive", "malformed", "missing transaction_id"}
 
 
 @pytest.fixture()

@@ -42,9 +42,13 @@ def random_rows(n: int, users: int, span: float, seed: int) -> list[dict]:
 
 @pytest.mark.parametrize("slice_seconds", [1, 7, 60, 3600])
 @pytest.mark.parametrize("window", [0, 30, 300])
-def test_features_equal_brute_force(make_txns, window, slice_seconds):
+@pytest.mark.parametrize("cut", ["all", "some", "none"])
+def test_features_equal_brute_force(make_txns, window, slice_seconds, cut):
     rows = random_rows(300, 8, 900.0, window + slice_seconds)
-    got = history.history_features(make_txns(rows), window, slice_seconds)
+    df = make_txns(rows)
+    large = {"all": None, "some": df.filter("user_id IN ('U1', 'HOT')").select("user_id").distinct(),
+             "none": df.select("user_id").limit(0)}[cut]
+    got = history.history_features(df, window, slice_seconds, large)
     assert {
         r["transaction_id"]: (r["velocity_count"], round(r["velocity_amount"], 4),
                               r["time_since_last"], round(r["amount_zscore"], 4) + 0.0)
@@ -99,10 +103,8 @@ def test_rows_are_shuffled_once_and_sorted_once(spark, make_txns):
         plan = plan_of(history.history_features(make_txns(random_rows(50, 3, 50.0, 1))))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    rows_side = plan[:plan.index("HashAggregate")]
-    # One exchange for the rows, then those of the summary (back and by user).
-    assert rows_side.count("Exchange hashpartitioning(user_id") == 3
-    assert rows_side.count("Sort [user_id") == 3
+    # The rows once; the summary when it is aggregated, by user, and back to the rows.
+    assert plan.count("Exchange hashpartitioning(_user") == 4
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
@@ -144,3 +146,21 @@ def test_new_country_needs_a_profile(make_txns):
         {"country": "NG", "user_id": "NEW"}])
     got = profiles.unusual_countries(recent, known).orderBy("transaction_id").collect()
     assert [r["is_new_country"] for r in got] == [False, True, False, False]
+
+
+def test_rows_without_a_user_share_a_history(make_txns):
+    df = make_txns([{"user_id": None, "event_s": 899.0}, {"user_id": None, "event_s": 905.0}])
+    rows = history.history_features(df, 300).orderBy("event_timestamp").collect()
+    assert [r["velocity_count"] for r in rows] == [1, 2]
+    assert rows[1]["time_since_last"] == 6
+
+
+def test_large_users_are_those_with_many_rows(make_txns):
+    df = make_txns([{"user_id": "A"}] * 5 + [{"user_id": None}] * 4 + [{"user_id": "B"}])
+    assert {r.user_id for r in history.large_users(df, 3).collect()} == {"A", None}
+
+
+def test_summary_of_uncut_users_is_one_row_each(make_txns):
+    df = make_txns(random_rows(300, 8, 90_000.0, 3))
+    marks = history._marks(df, 300, 60, df.select("user_id").limit(0))
+    assert history._slice_summary(marks).count() == df.select("user_id").distinct().count()

@@ -1,7 +1,11 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+import subprocess
+import sys
+from dataclasses import replace
+from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +17,7 @@ from riskweave.plans import batch, serve, stream
 from riskweave.session import work_path, work_root
 from riskweave.settings import DEFAULTS, Settings
 from riskweave.sources import events, risk_tables, stores
+from riskweave.streaming import speed
 
 AT = datetime(2024, 1, 31)
 
@@ -42,7 +47,7 @@ def test_alert_readers_open_alert_files_only(spark, make_txns, tmp_path):
     path = str(tmp_path / "flagged")
     stores.write_by_flag(scoring.score(make_txns([
         {"amount": a, "country": "NG", "merchant_category": "crypto", "is_online": True}
-        for a in (1.0, 9000.0)]), "sql"), path)
+        for a in (1.0, 9000.0)]), "sql", absent=("is_fraud",)), path)
     alerts = stores.read_by_flag(spark, path).filter("is_fraud_predicted")
     assert alerts.count() == 1
     plan = plan_of(alerts)
@@ -98,7 +103,8 @@ def test_an_unfinished_run_stays_invisible(spark, tmp_path, make_txns):
 
 def test_api_over_both_layers(spark, landing, batch_run, tmp_path):
     root = str(tmp_path / "live")
-    records = spark.readStream.option("recursiveFileLookup", True).text(landing)
+    records = spark.readStream.option("recursiveFileLookup", True).option(
+        "maxFilesPerTrigger", 8).text(landing)
     stream.start(records, root, f"{root}/checkpoint", available_now=True).awaitTermination()
     api = serve.create_api(spark, batch_run.root, root, clock=lambda: datetime(2024, 1, 31))
     assert api["get_user_profile"]("USER_00007").count() == 1
@@ -113,9 +119,9 @@ def test_api_over_both_layers(spark, landing, batch_run, tmp_path):
     assert not api["get_transactions_by_country"]().isEmpty()
     assert not api["get_fraud_rate_over_time"]().isEmpty()
 
-    gone = serve.purge_realtime(spark, root, datetime(2024, 1, 20), hours=0)
+    gone = serve.purge_realtime(spark, root, datetime(2100, 1, 1), hours=0)
     assert gone > 0 and serve.realtime_view(spark, root).count() == 1000 - gone
-    assert serve.purge_realtime(spark, root, datetime(2024, 1, 21), hours=24) == 0
+    assert serve.purge_realtime(spark, root, datetime(2100, 1, 2), hours=24) == 0
 
 
 def test_hot_user_is_split_by_the_skew_join(spark, tmp_path):
@@ -162,7 +168,7 @@ def test_connector_options():
     s = Settings(kafka_bootstrap_servers="h:1", max_offsets_per_trigger=5)
     source = stores.kafka_source_options(s, "earliest")
     assert source["subscribe"] == "transactions" and source["maxOffsetsPerTrigger"] == "5"
-    assert source["startingOffsets"] == "earliest" and source["failOnDataLoss"] == "false"
+    assert source["startingOffsets"] == "earliest" and source["failOnDataLoss"] == "true"
     assert stores.kafka_sink_options(s, "fraud-alerts")["topic"] == "fraud-alerts"
     assert stores.kafka_sink_options(s)["kafka.acks"] == "all"
     assert stores.mongodb_options("c")["collection"] == "c"
@@ -205,3 +211,72 @@ def test_model_round_trip_and_imputation(spark, batch_run):
 def test_rules_score_alone_without_a_model(make_txns):
     out = model.predict_or_rules(make_txns([{}]), None)
     assert "fraud_score" in out.columns and "fraud_probability" not in out.columns
+
+
+LIVE_COLUMNS = {"amount": "double", "fraud_score": "double", "is_fraud_predicted": "boolean",
+                "event_timestamp": "timestamp", "processing_time": "timestamp",
+                "country_risk": "double", "merchant_risk": "double", "hour_of_day": "int"}
+
+
+def live_rows(spark, n, at="2024-01-31 00:00:00"):
+    return spark.range(n).select(*[
+        F.lit(at).cast("timestamp").alias(c) if c == "processing_time"
+        else F.lit(None).cast(LIVE_COLUMNS.get(c, "string")).alias(c)
+        for c in serve.REALTIME_COLUMNS])
+
+
+def test_purging_neither_loses_nor_repeats_batches(spark, tmp_path):
+    root, now = str(tmp_path), datetime(2024, 1, 31)
+    live_rows(spark, 0).write.parquet(f"{root}/realtime_views/batch_id=0")
+    assert serve.purge_realtime(spark, root, now) == 0
+    assert serve.realtime_view(spark, root).count() == 0
+    for batch_id, n in ((1, 10), (2, 7)):
+        live_rows(spark, n).write.parquet(f"{root}/realtime_views/batch_id={batch_id}")
+    live_rows(spark, 4, "2024-01-01 00:00:00").write.parquet(f"{root}/realtime_views/batch_id=3")
+    live_rows(spark, 1).write.parquet(f"{root}/realtime_views/batch_id=4")
+    assert serve.purge_realtime(spark, root, now) == 4
+    # The newest batch was still being written.
+    live_rows(spark, 5).write.mode("append").parquet(f"{root}/realtime_views/batch_id=4")
+    assert serve.realtime_view(spark, root).count() == 10 + 7 + 6
+    assert serve.purge_realtime(spark, root, now) == 0
+
+
+def test_values_of_one_run_are_read_together(spark, tmp_path):
+    root = str(tmp_path)
+    assert stores.metadata(spark, root) == {}
+    stores.put_metadata(spark, root, {"current_run": "1", "x": "a"}, datetime(2024, 1, 1))
+    stores.put_metadata(spark, root, {"current_run": "2", "x": "b"}, datetime(2024, 1, 2))
+    assert stores.metadata(spark, root) == {"current_run": "2", "x": "b"}
+
+
+def test_batch_answers_only_for_what_it_has_seen_completely(spark, batch_run):
+    known = stores.metadata(spark, batch_run.root)
+    newest = stores.read_view(spark, batch_run.root, "transactions").agg(
+        F.max("event_timestamp").cast("string")).first()[0]
+    assert stores.time_of(known, "complete_until") == datetime.fromisoformat(
+        newest) - timedelta(seconds=300)
+
+
+def test_moments_do_not_depend_on_the_zone_of_the_driver(spark):
+    """Names the same instant in a driver far from UTC."""
+    code = ("import os, sys, time; os.environ['TZ'] = 'America/New_York'; time.tzset();"
+            "from datetime import datetime; from riskweave.session import build_session;"
+            "from riskweave.times import moment;"
+            "s = build_session('zone', 'local[1]', {'spark.ui.enabled': 'false'});"
+            "print('AT', s.range(1).select(moment(datetime(2024, 1, 31)).cast('string'))"
+            ".first()[0])")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True,
+                         cwd=Path(__file__).resolve().parents[1], timeout=120)
+    assert "AT 2024-01-31 00:00:00" in out.stdout, out.stderr[-500:]
+
+
+@pytest.mark.parametrize("change", [{"fraud_threshold": 0.1}, {"high_amount": 1.0}])
+def test_settings_act_on_the_stream_rules(make_txns, change):
+    df = make_txns([{"amount": 900.0, "country": "NG", "is_online": True}]).withColumn(
+        "processing_time", F.col("processing_timestamp"))
+
+    def score(s):
+        row = speed.score_stream(df, s=s).first()
+        return row["fraud_score"], row["is_fraud_predicted"]
+
+    assert score(replace(DEFAULTS, **change)) != score(DEFAULTS)

@@ -120,7 +120,7 @@ def test_default_range_is_the_last_day(make_scored):
 def test_countries_fall_back_to_the_batch_view(make_scored):
     df = make_scored([{"country": "US"}])
     none = df.filter("false")
-    assert serving.transactions_by_country(none, df).first()["country"] == "US"
+    assert serving.transactions_by_country(none, df, False).first()["country"] == "US"
 
 
 def test_retention_keeps_the_bound(make_scored):
