@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import arrow_of, map_rows, small_batches, to_batch
+from riskweave.llm.common import arrow_of, hash_sample, map_rows, small_batches, to_batch
 
 SAMPLE_ROWS = 1000
 WINDOW = 8
@@ -149,8 +149,7 @@ def profile(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> Dat
             yield to_batch([(m, n, s.tolist()) for m, (n, s) in found.items()], arrow_schema)
 
     small_batches(docs.sparkSession)
-    sample = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(
-        sample_rows).select("text")
+    sample = hash_sample(docs.select("doc_id", "text"), sample_rows, ["doc_id"]).select("text")
     parts = sample.mapInArrow(measure, schema)
     return parts.groupBy("mask").agg(F.sum("texts").alias("texts"), F.array(*[
         F.sum(F.col("seconds")[i]) for i in range(len(rules))]).alias("seconds"))
