@@ -1,14 +1,17 @@
-"""Jobs for spark-submit: ``batch`` rebuilds the views, ``stream`` runs the speed layer."""
+"""Jobs for spark-submit: ``batch`` rebuilds the views, ``stream`` runs the speed layer,
+``output`` one further output of the same input."""
 
 from __future__ import annotations
 
 import argparse
 from datetime import datetime, timezone
 
+from riskweave.operators import model
 from riskweave.plans import batch, stream
 from riskweave.session import build_session, use_rocksdb_state
 from riskweave.settings import Settings
 from riskweave.streaming import speed
+from riskweave.streaming.progress import ProgressTable
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -23,6 +26,13 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--input", help="landing folder; the transactions topic when absent")
     s.add_argument("--starting-offsets", default="latest")
+    s.add_argument("--models", help="output of the batch job, for its newest stream model")
+    o = jobs.add_parser("output")
+    o.add_argument("name", choices=sorted(stream.JOBS))
+    o.add_argument("--output", required=True)
+    o.add_argument("--checkpoint", required=True)
+    o.add_argument("--input", help="landing folder; the transactions topic when absent")
+    o.add_argument("--starting-offsets", default="latest")
     args = parser.parse_args(argv)
 
     spark, settings = build_session(f"riskweave-{args.job}"), Settings.from_env()
@@ -38,8 +48,13 @@ def main(argv: list[str] | None = None) -> None:
         speed.read_landing_stream(spark, args.input) if args.input
         else speed.read_records(spark, settings, args.starting_offsets)
     )
-    stream.start(records, args.output, args.checkpoint, s=settings)
-    stream.start_dead_letters(records, args.output, f"{args.checkpoint}-rejected", s=settings)
+    spark.streams.addListener(ProgressTable(spark, args.output))
+    if args.job == "output":
+        stream.JOBS[args.name](records, args.output, args.checkpoint, s=settings)
+    else:
+        path = model.newest(spark, batch.stream_models(args.models)) if args.models else None
+        stream.start(records, args.output, args.checkpoint,
+                     model.load(path) if path else None, settings)
     # Ends with the first query that fails, so no failure goes unseen.
     spark.streams.awaitAnyTermination()
 

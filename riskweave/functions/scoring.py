@@ -37,6 +37,11 @@ class Above:
             out = F.when(hit, value) if out is None else out.when(hit, value)
         return out.otherwise(F.lit(0.0))
 
+    def sql(self) -> str:
+        cases = "".join(f" WHEN {self.column} > {bound}D THEN {weight}D"
+                        for bound, weight in sorted(self.tiers, reverse=True))
+        return f"CASE{cases} ELSE 0D END"
+
 
 @dataclass(frozen=True)
 class IsTrue:
@@ -46,6 +51,9 @@ class IsTrue:
     def expr(self) -> Column:
         return F.when(F.col(self.column), F.lit(self.weight)).otherwise(F.lit(0.0))
 
+    def sql(self) -> str:
+        return f"IF(coalesce({self.column}, false), {self.weight}D, 0D)"
+
 
 @dataclass(frozen=True)
 class Within:
@@ -60,6 +68,10 @@ class Within:
         inside = F.col(self.column).between(self.low, self.high)
         return F.when(inside, F.lit(self.weight)).otherwise(F.lit(0.0))
 
+    def sql(self) -> str:
+        inside = f"{self.column} BETWEEN {self.low} AND {self.high}"
+        return f"IF(coalesce({inside}, false), {self.weight}D, 0D)"
+
 
 @dataclass(frozen=True)
 class Profile:
@@ -202,18 +214,20 @@ def amount_flags(df: DataFrame, high: float = 1000.0, very_high: float = 5000.0)
     })
 
 
-def register_score_function(spark, name: str = "risk_score") -> None:
-    """SQL form of the ``stream`` profile for SQL users: inlined, no Python worker."""
+SCORE_INPUTS = {"amount": "DOUBLE", "country_risk": "DOUBLE", "merchant_risk": "DOUBLE",
+                "is_online": "BOOLEAN", "hour_of_day": "INT", "velocity_flag": "DOUBLE"}
+
+
+def register_score_function(spark, name: str = "risk_score", rules: str = "stream") -> None:
+    """SQL form of a profile for SQL users: its own terms as an inlined SQL function, no
+    Python worker. A missing risk counts as an unknown country or category."""
+    chosen = PROFILES[rules]
+    inputs = ", ".join(f"{column} {kind}" for column, kind in SCORE_INPUTS.items())
+    terms = "".join(f"\n            + {t.sql()}" for t in chosen.terms)
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION {name}(
-            amount DOUBLE, country_risk DOUBLE, merchant_risk DOUBLE,
-            is_online BOOLEAN, hour_of_day INT, velocity_flag DOUBLE)
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}({inputs})
         RETURNS DOUBLE
         RETURN least(1D, greatest(0D,
-            coalesce(country_risk, 0.5D) * {COUNTRY_WEIGHT}D
-            + coalesce(merchant_risk, 0.5D) * {CATEGORY_WEIGHT}D
-            + CASE WHEN amount > 5000 THEN 0.2D WHEN amount > 1000 THEN 0.1D ELSE 0D END
-            + IF(coalesce(is_online, false), 0.1D, 0D)
-            + IF(coalesce(hour_of_day BETWEEN 0 AND 5, false), 0.1D, 0D)
-            + coalesce(velocity_flag, 0D) * 0.15D))
+            coalesce(country_risk, {chosen.unknown_country}D) * {COUNTRY_WEIGHT}D
+            + coalesce(merchant_risk, {chosen.unknown_category}D) * {CATEGORY_WEIGHT}D{terms}))
     """)

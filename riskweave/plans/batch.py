@@ -16,6 +16,7 @@ from riskweave.operators.history import history_features, large_users
 from riskweave.operators.quality import (
     TOO_LATE_AFTER, accepted, dead_letters, parse_messages, validate,
 )
+from riskweave.schema import FRAUD_RESULT_COLUMNS
 from riskweave.settings import DEFAULTS, Settings
 from riskweave.sources import stores
 from riskweave.times import moment
@@ -33,6 +34,11 @@ def scored(txns: DataFrame, window_seconds: int | None = None,
     return score(features, profile("batch", s.fraud_threshold))
 
 
+def stream_models(root: str) -> str:
+    """Folder of the models that the speed layer can apply."""
+    return f"{root}/stream_models"
+
+
 def read_valid(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Landed messages: those that pass the checks of the speed layer, and the others with
     their text and the reason."""
@@ -54,8 +60,8 @@ def run(spark: SparkSession, transactions: DataFrame, root: str, at: datetime,
         serving_limit: int | None = None, rejected: DataFrame | None = None) -> BatchRun:
     """Build and publish every view; the run becomes visible with its last step.
 
-    Two intermediate tables are written instead of cached: the deduplicated transactions
-    and the scored rows. Each later step reads only the columns it needs from them, and a
+    Two tables are written instead of cached: the deduplicated transactions and the scored
+    rows, which are a published view as well. Each later step reads only the columns it needs from them, and a
     lost executor costs the tasks at hand, not the lineage back to the raw files.
     """
     # Unique, so that a rerun never overwrites a version that is being read.
@@ -71,8 +77,12 @@ def run(spark: SparkSession, transactions: DataFrame, root: str, at: datetime,
         put(rejected, "dead_letters")
     curated = put(first_arrivals(transactions), "transactions")
     users = put(profiles.user_profiles(curated, stamp), "user_profiles")
-    rows = put(scored(curated, s=s, large=large_users(curated)), "scored")
-    results = put(views.fraud_results(rows, stamp), "fraud_results")
+    # One table for the published view and the training: the view's columns come first.
+    full = scored(curated, s=s, large=large_users(curated)).withColumn("batch_timestamp", stamp)
+    rows = put(full.select(*FRAUD_RESULT_COLUMNS, "batch_timestamp", *[
+        c for c in full.columns if c not in (*FRAUD_RESULT_COLUMNS, "batch_timestamp")]),
+        "fraud_results")
+    results = views.fraud_results(rows, stamp)
     put(views.daily_stats(results).withColumn("batch_timestamp", stamp), "daily_stats")
     put(views.country_stats(results), "country_stats")
     put(views.calendar_stats(results), "calendar_stats")
@@ -84,6 +94,10 @@ def run(spark: SparkSession, transactions: DataFrame, root: str, at: datetime,
     if trained:
         paths["model"] = model.save(trained.model, f"{root}/models", at)
         model.register(spark, root, paths["model"], at, trained.auc)
+        # The stream knows no history, so it gets a model of what it can compute.
+        online = model.train(rows, model.STREAM_FEATURES, s)
+        paths["stream_model"] = model.save(online.model, stream_models(root), at)
+        model.register(spark, stream_models(root), paths["stream_model"], at, online.auc)
 
     newest = curated.agg(F.max("event_timestamp").cast("string").alias("t")).first()["t"]
     marks = {"current_run": run_id, "last_batch_timestamp": at.isoformat()}

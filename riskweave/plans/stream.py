@@ -7,8 +7,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.operators.model import predict
-from riskweave.operators.quality import dead_letters, parse_messages, validate
+from riskweave.operators.quality import (
+    accepted, dead_letters, lateness, parse_messages, validate,
+)
+from riskweave.schema import ALERT_COLUMNS, TRANSACTION
 from riskweave.settings import DEFAULTS, Settings
+from riskweave.sources.stores import publish_messages
 from riskweave.streaming import sinks, speed
 
 
@@ -28,3 +32,52 @@ def start_dead_letters(records: DataFrame, root: str, checkpoint: str,
     rejected = dead_letters(validate(parse_messages(records)))
     return sinks.start(rejected, sinks.append_batches(root, "dead_letters"), checkpoint,
                        s=s, available_now=available_now)
+
+
+def start_windows(records: DataFrame, root: str, checkpoint: str, s: Settings = DEFAULTS,
+                  available_now: bool = False) -> StreamingQuery:
+    """Counts and amounts per country and sliding event-time window."""
+    scored = speed.score_stream(speed.to_transactions(records), s=s)
+    stats = speed.window_stats(scored, s, s.window_duration, s.window_slide, "country",
+                               watermarked=True)
+    return sinks.start(stats, sinks.append_batches(root, "window_stats"), checkpoint, s=s,
+                       available_now=available_now)
+
+
+def start_user_risk(records: DataFrame, root: str, checkpoint: str, s: Settings = DEFAULTS,
+                    available_now: bool = False) -> StreamingQuery:
+    """Score of every user's newest transaction; read it with ``sinks.newest_per_user``."""
+    risk = speed.current_user_risk(speed.score_stream(speed.to_transactions(records), s=s))
+    return sinks.start(risk, sinks.append_batches(root, "user_risk"), checkpoint, "update", s,
+                       available_now)
+
+
+def start_late_events(records: DataFrame, root: str, checkpoint: str,
+                      s: Settings = DEFAULTS, available_now: bool = False) -> StreamingQuery:
+    """Events that arrived late, kept with their delay and class; the watermark of the
+    scoring query may drop them."""
+    late = lateness(speed.to_transactions(records)).filter("lateness <> 'on_time'")
+    return sinks.start(late, sinks.append_batches(root, "late_events"), checkpoint, s=s,
+                       available_now=available_now)
+
+
+def start_landing(records: DataFrame, root: str, checkpoint: str,
+                  s: Settings = DEFAULTS) -> StreamingQuery:
+    """Valid messages below date folders, as the batch job reads them."""
+    valid = accepted(validate(parse_messages(records)))
+    return sinks.start_landing(valid.select(*TRANSACTION.names), root, checkpoint, s)
+
+
+def start_alert_topic(records: DataFrame, root: str, checkpoint: str,
+                      s: Settings = DEFAULTS, available_now: bool = False) -> StreamingQuery:
+    """Alerts to their own topic; needs the connector. ``root`` is not used."""
+    scored = speed.score_stream(speed.to_transactions(records), s=s)
+    alerts = scored.filter("is_fraud_predicted").select(*ALERT_COLUMNS)
+    return sinks.start(alerts, lambda rows, _: publish_messages(
+        rows, s, s.kafka_topic_fraud_alerts), checkpoint, s=s, available_now=available_now)
+
+
+# Outputs that run as jobs of their own, each with its own checkpoint and consumer.
+JOBS = {"dead-letters": start_dead_letters, "windows": start_windows,
+        "user-risk": start_user_risk, "late-events": start_late_events,
+        "landing": start_landing, "alert-topic": start_alert_topic}

@@ -49,16 +49,18 @@ def score_stream(stream: DataFrame, rules: Profile | str = "stream",
 
 
 def window_stats(stream: DataFrame, s: Settings = DEFAULTS, duration: str | None = None,
-                 slide: str | None = None, *keys: str) -> DataFrame:
-    """Counts and amounts per event-time window, emitted once a window is closed."""
+                 slide: str | None = None, *keys: str, watermarked: bool = False) -> DataFrame:
+    """Counts and amounts per event-time window, emitted once a window is closed. A stream
+    that has been deduplicated is ``watermarked`` already."""
     duration = duration or s.window_duration
     window = F.window("event_timestamp", duration, slide or duration)
     measures = {"n": F.count(F.lit(1)), "total_amount": F.sum("amount")}
     if "is_fraud_predicted" in stream.columns:
         measures["fraud_count"] = flagged_count()
+    if not watermarked:
+        stream = stream.withWatermark("event_timestamp", s.watermark_delay)
     return (
-        stream.withWatermark("event_timestamp", s.watermark_delay)
-        .groupBy(window.alias("w"), *keys)
+        stream.groupBy(window.alias("w"), *keys)
         .agg(*[m.alias(name) for name, m in measures.items()])
         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                 *keys, *measures)

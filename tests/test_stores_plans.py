@@ -280,3 +280,15 @@ def test_settings_act_on_the_stream_rules(make_txns, change):
         return row["fraud_score"], row["is_fraud_predicted"]
 
     assert score(replace(DEFAULTS, **change)) != score(DEFAULTS)
+
+
+def test_the_stream_applies_the_model_of_the_batch_run(spark, landing, batch_run, tmp_path):
+    root = str(tmp_path / "modelled")
+    path = model.newest(spark, batch.stream_models(batch_run.root))
+    assert path == batch_run.paths["stream_model"]
+    records = spark.readStream.option("recursiveFileLookup", True).text(landing)
+    stream.start(records, root, f"{root}/checkpoint", model.load(path),
+                 available_now=True).awaitTermination()
+    rows = spark.read.parquet(f"{root}/realtime_views")
+    assert rows.filter("fraud_probability IS NULL").isEmpty()
+    assert rows.select("prediction").distinct().count() == 2

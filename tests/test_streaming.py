@@ -12,7 +12,7 @@ from riskweave.plans import stream
 from riskweave.session import ROCKSDB_PROVIDER, use_rocksdb_state
 from riskweave.settings import Settings
 from riskweave.sources import events, stores
-from riskweave.streaming import sinks, speed
+from riskweave.streaming import progress, sinks, speed
 
 AT = datetime(2024, 1, 31)
 
@@ -214,3 +214,29 @@ def test_micro_batches_are_limited(feed):
         feed.add(message(f"m{i}", i))
     query, _ = feed.drain(feed.transactions())
     assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [1, 1, 1]
+
+
+def test_further_outputs_run_as_jobs(feed, spark):
+    feed.add(message("a", 0), message("b", 61), "nope")
+    feed.add(message("c", 7200))
+    out = {}
+    for name in ("dead-letters", "windows", "user-risk", "late-events"):
+        root = f"{feed.out}/{name}"
+        stream.JOBS[name](feed.records(), root, f"{root}-checkpoint",
+                          available_now=True).awaitTermination()
+        table = name.replace("-", "_").replace("windows", "window_stats")
+        out[name] = sinks.read_batches(spark, root, table)
+    assert out["dead-letters"].count() == 1
+    assert out["user-risk"].select("user_id").distinct().count() == 1
+    assert out["windows"].agg(F.sum("n")).first()[0] >= 4  # sliding: each row twice
+    assert set(out["late-events"].columns) >= {"transaction_id", "delay_seconds", "lateness"}
+
+
+def test_progress_of_a_query_is_kept(spark, tmp_path):
+    report = {"id": "q", "batchId": 3, "timestamp": "2024-01-01T00:00:00.000Z",
+              "numInputRows": 7, "durationMs": {"triggerExecution": 1500}, "sources": [
+                  {"latestOffset": {"t": {"0": 9}}, "endOffset": {"t": {"0": 5}}}]}
+    progress.append(spark, str(tmp_path), report)
+    row = progress.read_progress(spark, str(tmp_path)).first()
+    assert row.asDict() == {"query_id": "q", "batch_id": 3, "at": report["timestamp"],
+                            "input_rows": 7, "trigger_seconds": 1.5, "lag": 4}
