@@ -39,7 +39,8 @@ PATTERNS = {
     "date": NOT_INSIDE + r"[0-9]{2}([/.])[0-9]{2}\1[0-9]{4}" + ENDS,
     "ssn": NOT_INSIDE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + ENDS,
     "card": NOT_INSIDE + r"[0-9](?:[ -]?[0-9]){12,18}+" + ENDS,
-    "phone": r"(?<![\p{L}\p{N}_+])(?<![0-9][ .-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])"
+    "phone": r"(?<![\p{L}\p{N}_])\+[0-9](?:[ .()-]{0,2}[0-9]){6,14}+(?![\p{L}\p{N}_]|[ .-][0-9])|"
+             r"(?<![\p{L}\p{N}_+])(?<![0-9][ .-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])"
              r"[0-9]{3,4}[ .-][0-9]{4}(?![\p{L}\p{N}_]|[ .-][0-9])",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -223,7 +224,7 @@ def kind_of(value: Column) -> Column:
                   .when(day_first.isNotNull(), "day_first"))
             .when(is_kind["ssn"], F.when((area > 0) & (area != 666) & (area < 900)
                                          & (group > 0) & (serial > 0), "ssn"))
-            .when(is_kind["phone"] & F.length(digits).between(7, 13), "phone")
+            .when(is_kind["phone"] & F.length(digits).between(7, 15), "phone")
             .when(is_kind["card"] & F.call_function("luhn_check", digits), "card"))
 
 

@@ -146,6 +146,14 @@ def test_valid_values_are_replaced_and_others_stay(replaced):
     assert replaced[3].found == ["iso_date", "month_first", "day_first"]
 
 
+@pytest.mark.parametrize("number", [
+    "+49 170 1234567", "+442071234567", "(555) 123-4567", "555-123-4567", "+1.555.123.4567"])
+def test_forms_of_phone_numbers(make_docs, number):
+    row = pii.pseudonymise(make_docs([f"at {number}, or later"]), kinds="found").first()
+    assert row.found == ["phone"] and number not in row.text
+    assert re.sub(r"\d", "0", row.text) == re.sub(r"\d", "0", f"at {number}, or later")
+
+
 def test_pseudonyms_can_be_restored(make_docs):
     docs = make_docs(PERSONAL)
     rows = pii.restore(pii.pseudonymise(docs)).orderBy("doc_id").collect()
