@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from riskweave.llm.common import map_rows
 
 # Pieces whose encoding one worker remembers at most; then it starts anew.
-MEMO_PIECES = 600_000
+MEMO_PIECES = 350_000
 NEVER = 1 << 62
 
 
@@ -87,7 +87,7 @@ class Vocabulary:
         """Whether the encoding of both tokens' bytes is just these two tokens."""
         known = self.known_fits.get((first, second))
         if known is None:
-            if len(self.known_fits) > 4 * MEMO_PIECES:
+            if len(self.known_fits) > MEMO_PIECES:
                 self.known_fits.clear()
             known = self.known_fits[first, second] = self._seam_holds(first, second)
         return known
