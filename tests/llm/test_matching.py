@@ -251,6 +251,43 @@ def test_blocks_of_items_give_the_same_pairs(spark, sf_dir, documents, monkeypat
     assert whole == parts
 
 
+def long_items(lengths):
+    """Items of Zipf words with some of their own, and filler of the same words."""
+    rng = random.Random(11)
+    common = [f"w{i}" for i in range(3000)]
+    draw = lambda n: rng.choices(common, [1 / (i + 1) for i in range(3000)], k=n)
+    items = [[w if rng.random() < 0.7 else f"i{k}x{j % 40}" for j, w in enumerate(draw(n))]
+             for k, n in enumerate(lengths)]
+    return rng, draw, items
+
+
+def test_long_items_are_found_copied_and_rephrased(spark, make_docs):
+    lengths = [61, 97, 150, 250, 400, 700, 1000]
+    rng, draw, items = long_items(lengths)
+    texts, expected = [], set()
+    for k, words in enumerate(items):
+        # Copied, one in five words replaced, one in four left out; a third alone is no match.
+        answer = words[-8:]
+        forms = [words, [w if rng.random() < 0.8 else "other" for w in words[:-8]] + answer,
+                 [w for w in words[:-8] if rng.random() < 0.75] + answer]
+        for form in forms:
+            expected.add((len(texts), k))
+            texts.append(" ".join(draw(rng.randint(0, 90)) + form + draw(rng.randint(0, 90))))
+        texts.append(" ".join(draw(30) + words[:len(words) // 3] + draw(900)))
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)],
+                                      "item_id bigint, text string")
+    rows = decontam.contaminated(make_docs(texts), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == expected
+    assert all(r.lcs_share == 1.0 for r in rows if r.doc_id % 4 == 0)
+
+
+def test_pieces_cover_every_item():
+    for n in range(1, 2000):
+        pieces = decontam.pieces_of(n)
+        assert [a for a, _ in pieces] == [0, *(b for _, b in pieces[:-1])]
+        assert pieces[-1][1] == n and max(b - a for a, b in pieces) <= decontam.LONGEST_PIECE
+
+
 def test_decontamination_edges(spark, edge_docs, no_docs):
     none = spark.createDataFrame([], "item_id bigint, text string")
     one = spark.createDataFrame([(1, ITEM)], none.schema)
