@@ -281,6 +281,28 @@ def test_long_items_are_found_copied_and_rephrased(spark, make_docs):
     assert all(r.lcs_share == 1.0 for r in rows if r.doc_id % 4 == 0)
 
 
+def test_short_items_match_as_whole_word_sequences(spark, make_docs, monkeypatch):
+    rng = random.Random(3)
+    benchmark = [(i, " ".join(rng.choices("abcd", k=n))) for i, n in enumerate([*range(1, 8)] * 2)]
+    benchmark += [(20, "What is two plus two?"), (21, "..."), (22, ""), (23, None), (24, ITEM),
+                  (25, "é ß")]
+    texts = [" ".join(rng.choices("abcd", k=n)) for n in range(0, 60, 4)]
+    texts += ["so WHAT is two, plus two", "what is two plus twofold", f"a {ITEM}", "é ß", None]
+    expected = set()
+    for d, text in enumerate(texts):
+        spaced = b" " + b" ".join(decontam.words_of(text)) + b" "
+        expected |= {(d, i) for i, t in benchmark if (w := decontam.words_of(t))
+                     and b" " + b" ".join(w) + b" " in spaced}
+    docs = make_docs(texts)
+    items = spark.createDataFrame(benchmark, "item_id bigint, text string")
+    rows = decontam.contaminated(docs, items).collect()
+    assert len(rows) == len(expected) and {(r.doc_id, r.item_id) for r in rows} == expected
+    assert {i for _, i in expected} >= {0, 1, 20, 24, 25}
+    monkeypatch.setattr(decontam, "ITEMS_PER_PASS", 4)
+    kept = {r.doc_id for r in decontam.keep_clean(docs, items).collect()}
+    assert kept == set(range(len(texts))) - {d for d, _ in expected}
+
+
 def test_pieces_cover_every_item():
     for n in range(1, 2000):
         pieces = decontam.pieces_of(n)
