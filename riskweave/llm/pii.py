@@ -2,7 +2,9 @@
 
 What is found is validated first: payment cards by their Luhn digit, calendar dates by the
 calendar, IPv4 octets and social security areas by their ranges, phone numbers by the count
-of their digits. What fails stays as it is. A valid value is mapped by a keyed Feistel
+of their digits. A text is scanned several times: for common layouts, for any run that can be a
+value, and for layouts inside the runs that were no values, so that a number next to another
+one is found. What fails all of them stays as it is. A valid value is mapped by a keyed Feistel
 permutation of all values of its format: equal values keep equal pseudonyms in all
 documents, different values stay different, and ``restore`` inverts it with the key.
 
@@ -36,6 +38,7 @@ PATTERNS = {
              r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.){1,8}[A-Za-z]{2,24}",
     "ip": r"(?<![\p{L}\p{N}_.])(?:" + OCTET + r"\.){3}" + OCTET + r"(?![\p{L}\p{N}_]|\.[0-9])",
     "iso_date": NOT_INSIDE + r"[0-9]{4}-[0-9]{2}-[0-9]{2}" + ENDS,
+    "year_first": NOT_INSIDE + r"[0-9]{4}(?:/[0-9]{2}/|\.[0-9]{2}\.)[0-9]{2}" + ENDS,
     "date": NOT_INSIDE + r"[0-9]{2}([/.])[0-9]{2}\1[0-9]{4}" + ENDS,
     "ssn": NOT_INSIDE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + ENDS,
     "card": NOT_INSIDE + r"[0-9](?:[ -]?[0-9]){12,18}+" + ENDS,
@@ -43,7 +46,34 @@ PATTERNS = {
              r"(?<![\p{L}\p{N}_+])(?<![0-9][ .-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])"
              r"[0-9]{3,4}[ .-][0-9]{4}(?![\p{L}\p{N}_]|[ .-][0-9])",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# Layouts of cards (16, 15, 14, 13 and 19 digits) and of phone numbers.
+CARD_16 = r"[0-9]{4}(?:(?: [0-9]{4}){3}|(?:-[0-9]{4}){3})"
+CARDS = (r"(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{6} |-[0-9]{6}-)[0-9]{4,5}|"
+         + CARD_16 + r"[ -][0-9]{3}(?![ -]?[0-9])|" + CARD_16 + r"|[0-9]{4}(?:(?: [0-9]{3}){3}|(?:-[0-9]{3}){3}))")
+CARD_LAYOUTS = NOT_INSIDE + CARDS + ENDS
+SHORT_CARDS = NOT_INSIDE + CARD_16 + ENDS
+PHONE_TAIL = r"[0-9]{3}[ .-][0-9]{4}"
+PHONES = r"(?:(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?|(?:\+[0-9]{1,3}[ .-])?[0-9]{3}[ .-])" + PHONE_TAIL
+PHONE_LAYOUTS = r"(?<![\p{L}\p{N}_+])" + PHONES + ENDS
+# With one separator throughout, no part of a longer number with that separator.
+SURE_PHONES = (r"(?<![\p{L}\p{N}_+])(?<![0-9][.-])(?:\+[0-9]{1,3}[ .-]?)?(?:[0-9]{3}-[0-9]{3}-|"
+               r"[0-9]{3}\.[0-9]{3}\.|\([0-9]{3}\)[ -]?[0-9]{3}-)[0-9]{4}" + ENDS + r"(?![.-][0-9])")
+# Two in a row have more digits than a card.
+NEXT_PHONES = (NOT_INSIDE + r"[0-9]{3}[ .-]" + PHONE_TAIL + r"(?= [0-9]{3}[ .-]" + PHONE_TAIL + ENDS
+               + r")|(?<=[0-9]{3}[ .-]" + PHONE_TAIL + r" )[0-9]{3}[ .-]" + PHONE_TAIL + ENDS)
+
+
+MARK = "\uffff"  # no character; texts that have it all the same are not joined again
+
+
+def any_of(*patterns: str) -> str:
+    return "|".join(f"(?:{p})" for p in patterns)
+
+
+FIXED = [p for kind, p in PATTERNS.items() if kind not in ("card", "phone")]
+# One scan each, over what the scans before left. Of these only "date" has a group.
+SCANS = (any_of(*FIXED, CARD_LAYOUTS, SURE_PHONES, NEXT_PHONES), any_of(*PATTERNS.values()),
+         any_of(*FIXED, SHORT_CARDS, PHONE_LAYOUTS), any_of(*FIXED, CARD_LAYOUTS))
 WHOLE = {kind: f"^(?:{p})$" for kind, p in PATTERNS.items()}
 
 
@@ -220,6 +250,8 @@ def kind_of(value: Column) -> Column:
             .when(is_kind["ip"], "ip")
             .when(is_kind["iso_date"],
                   F.when(F.try_to_date(value, "yyyy-MM-dd").isNotNull(), "iso_date"))
+            .when(is_kind["year_first"], F.when(
+                F.try_to_date(F.translate(value, ".", "/"), "yyyy/MM/dd").isNotNull(), "year_first"))
             .when(is_kind["date"], F.when(month_first.isNotNull(), "month_first")
                   .when(day_first.isNotNull(), "day_first"))
             .when(is_kind["ssn"], F.when((area > 0) & (area != 666) & (area < 900)
@@ -236,6 +268,9 @@ def replaced(value: Column, kind: Column, key: str, inverse: bool) -> Column:
             .when(kind == "ip", ip(value, key, inverse))
             .when(kind == "iso_date", F.date_format(
                 day(F.try_to_date(value, "yyyy-MM-dd"), key, inverse), "yyyy-MM-dd"))
+            .when(kind == "year_first", F.replace(F.date_format(
+                day(F.try_to_date(F.translate(value, ".", "/"), "yyyy/MM/dd"), key, inverse),
+                "yyyy-MM-dd"), F.lit("-"), F.substring(value, 5, 1)))
             .when(kind == "month_first", us)
             .when(kind == "day_first", F.replace(eu, F.lit("/"), F.substring(value, 3, 1)))
             .when(kind == "ssn", ssn(value, key, inverse))
@@ -244,24 +279,54 @@ def replaced(value: Column, kind: Column, key: str, inverse: bool) -> Column:
             .otherwise(value))
 
 
+def scanned(part: Column, pattern: str) -> Column:
+    """The part cut at the valid values of a pattern; a part with a kind stays as it is.
+
+    What is not valid is joined again with the text around it, for the scans to come.
+    """
+    text = part["text"]
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda v: F.struct(
+        v.alias("text"), kind_of(v).alias("kind")))
+
+    def gap(value: Column) -> Column:
+        return F.struct(value.alias("text"), F.lit(None).cast("string").alias("kind"))
+
+    def cut(values: Column) -> Column:
+        marked = F.transform(values, lambda p: F.when(p["kind"].isNull(), p["text"]).otherwise(MARK))
+        rest = F.array_join(F.zip_with(F.split(text, pattern), F.concat(marked, F.array(F.lit(""))),
+                                       lambda g, value: F.concat(g, value)), "")
+        joined = F.zip_with(F.transform(F.split(rest, MARK), gap), F.filter(
+            values, lambda p: p["kind"].isNotNull()), lambda g, value: F.array(g, value))
+        loose = F.zip_with(F.transform(F.split(text, pattern), gap), values,
+                           lambda g, value: F.array(g, value))
+        return F.flatten(F.when(F.contains(text, F.lit(MARK)), loose).otherwise(joined))
+
+    # An array of one, so that what is found is computed once.
+    parts = F.flatten(F.transform(F.array(found), lambda values: cut(values)))
+    return F.when(part["kind"].isNotNull(), F.array(part)).otherwise(
+        F.filter(parts, lambda p: F.length(p["text"]) > 0))
+
+
 def pseudonymise(docs: DataFrame, key: str = KEY, inverse: bool = False,
                  kinds: str | None = None) -> DataFrame:
     """All columns, ``text`` with pseudonyms. ``kinds`` names a new column for the array of
     the kinds that were replaced."""
     text = F.col("text")
-    found, pairs, names = (free_name(docs, n) for n in ("found", "pairs", "kinds"))
-    some = text.rlike("[0-9@]") & text.rlike(ANY)
-    none = F.array().cast("array<string>")
-    cut = docs.withColumn(found, F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-                          .otherwise(none)).withColumn(
-        pairs, F.transform(found, lambda v: F.struct(v.alias("v"), kind_of(v).alias("k"))))
-    new = F.transform(pairs, lambda p: replaced(p["v"], p["k"], key, inverse))
-    joined = F.array_join(F.zip_with(
-        F.split(text, ANY), F.concat(new, F.array(F.lit(""))),
-        lambda gap, value: F.concat(gap, value)), "")
-    valid = F.filter(F.transform(pairs, lambda p: p["k"]), lambda k: k.isNotNull())
-    out = cut.withColumn(names, valid).withColumn(
-        "text", F.when(F.size(names) > 0, joined).otherwise(text)).drop(found, pairs)
+    parts, names = (free_name(docs, n) for n in ("parts", "kinds"))
+    able = F.lit(False)
+    for pattern in SCANS:
+        able = able | text.rlike(pattern)
+    whole = F.array(F.struct(text.alias("text"), F.lit(None).cast("string").alias("kind")))
+    cut = whole
+    for pattern in SCANS:
+        cut = F.flatten(F.transform(cut, lambda p: scanned(p, pattern)))
+    out = docs.withColumn(parts, F.when(text.rlike("[0-9@]") & able, cut).otherwise(
+        F.array().cast("array<struct<text:string,kind:string>>")))
+    joined = F.array_join(F.transform(parts, lambda p: F.when(
+        p["kind"].isNotNull(), replaced(p["text"], p["kind"], key, inverse)).otherwise(p["text"])), "")
+    out = out.withColumn(names, F.filter(F.transform(parts, lambda p: p["kind"]),
+                                         lambda k: k.isNotNull()))
+    out = out.withColumn("text", F.when(F.size(names) > 0, joined).otherwise(text)).drop(parts)
     return out.withColumnRenamed(names, kinds) if kinds else out.drop(names)
 
 

@@ -60,7 +60,7 @@ def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"),
                              kinds="_kinds")
     kinds = {"emails": ["email"], "ips": ["ip"], "phones": ["phone"], "cards": ["card"],
-             "ssns": ["ssn"], "dates": ["iso_date", "month_first", "day_first"]}
+             "ssns": ["ssn"], "dates": ["iso_date", "year_first", "month_first", "day_first"]}
 
     def count(names: list[str]) -> Column:
         return F.size(F.filter("_kinds", lambda kind: kind.isin(names)))

@@ -154,6 +154,34 @@ def test_forms_of_phone_numbers(make_docs, number):
     assert re.sub(r"\d", "0", row.text) == re.sub(r"\d", "0", f"at {number}, or later")
 
 
+ADJACENT = [
+    ("4111 1111 1111 1111 12/27", ["card"]), ("4111111111111111 123", ["card"]),
+    ("7 4111111111111111", ["card"]), ("4111-1111-1111-1111 123", ["card"]),
+    ("4111111111111111 2024-05-01", ["card", "iso_date"]),
+    ("555-123-4567 555-987-6543", ["phone"] * 2),
+    ("555-123-4567 555-987-6543 555-222-3333", ["phone"] * 3),
+    ("555-123-4567 4111111111111111", ["phone", "card"]),
+    ("4111 1111 1111 1111 555-123-4567", ["card", "phone"]),
+    ("3782 822463 10005 4111 1111 1111 1111", ["card"] * 2),
+    ("555-123-4567 12", ["phone"]), ("12 555-123-4567", ["phone"]),
+    ("2024/05/01 2024.05.01 2024/13/01", ["year_first"] * 2),
+    ("48451 681144 07329", ["card"]), ("4111 1111 1111 1112 12", []),
+    ("9807-9157-6280-4490 1", []), ("4111 1111 1111 1112 555-123-4567", ["phone"]),
+    ("\uffff 4111 1111 1111 1111 12/27 \uffff", ["card"]),
+]
+
+
+def test_adjacent_values_are_all_found_and_restored(make_docs):
+    docs = make_docs([text for text, _ in ADJACENT])
+    out = pii.pseudonymise(docs, kinds="found").orderBy("doc_id")
+    for (text, kinds), row in zip(ADJACENT, out.collect()):
+        assert (text, row.found) == (text, kinds)
+        assert re.sub(r"\d", "0", row.text) == re.sub(r"\d", "0", text)
+        assert (row.text == text) == (not kinds)
+    assert [r.text for r in pii.restore(out.drop("found")).orderBy("doc_id").collect()] == [
+        text for text, _ in ADJACENT]
+
+
 def test_pseudonyms_can_be_restored(make_docs):
     docs = make_docs(PERSONAL)
     rows = pii.restore(pii.pseudonymise(docs)).orderBy("doc_id").collect()
