@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, decontam, langid, pii, quality, repeats, sharding, simhash, toxicity, urlfilter
+from riskweave.llm import (
+    bpe, decontam, langid, merkle, pii, quality, repeats, sharding, simhash, toxicity, urlfilter,
+)
 from riskweave.llm.common import table
 
 # Rules and block list of the URL query.
@@ -85,6 +87,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof, and whether each leaf still verifies after tampering."""
+    return merkle.verify(merkle.manifest(table(spark, sf_dir, "documents")))
+
+
 URL_SQL = r"""
 WITH cut AS (
   SELECT page_id,
@@ -151,7 +158,7 @@ def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_hd_language,
                                       op4_decontamination, op5_byte_bpe, op6_url_filters,
                                       op7_pii_pseudonyms, op8_minimax_shards, op9_run_length_dedup,
-                                      op10_simhash)}
+                                      op10_simhash, op12_merkle_manifest)}
 
 
 def all_oracles() -> dict[str, str]:
