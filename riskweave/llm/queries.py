@@ -154,6 +154,71 @@ FROM base
 """
 
 
+def merkle_sql(group_levels: int = 5, top_levels: int = 3) -> str:
+    """The manifest in SQL, for up to 16 to the power of the levels. Levels beyond a group's
+    own leave its one node as it is."""
+    crc = ("xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform("
+           "string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)), lambda a, b: "
+           "list_reduce(list_prepend(xor(a, b), range(8)), lambda v, i: "
+           "xor(v >> 1, (v & 1) * 3988292384))))")
+
+    def hashed(text: str) -> str:
+        fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+        return "sha256(concat(%s))" % ", ".join(
+            f"coalesce(octet_length(encode({f})) || ':' || {f}, '-')" for f in fields)
+
+    def tree(name: str, count: int) -> str:
+        parts = []
+        for k in range(count):
+            around = "OVER (PARTITION BY grp, pos // 16 ORDER BY pos ROWS BETWEEN "
+            parts.append(f"""{name}s{k} AS (SELECT grp, pos, n,
+  coalesce(string_agg(digest, '') {around} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(digest, '') {around} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}{k}),
+{name}{k + 1} AS (SELECT grp, pos // 16 AS pos, (n + 15) // 16 AS n,
+  CASE WHEN n > 1 THEN sha256(string_agg(digest, '' ORDER BY pos)) ELSE min(digest) END AS digest
+  FROM {name}{k} GROUP BY grp, pos // 16, n)""")
+        return ",\n".join(parts)
+
+    steps = [f"g{k}" for k in range(group_levels)] + [f"t{k}" for k in range(top_levels)]
+    fold, joins, proof, at = [], [], [], "start"
+    for name, step in ((s[0] + "s" + s[1:], s) for s in steps):
+        on = (f"{name}.grp = leaf.grp AND {name}.pos = leaf.pos // {16 ** int(step[1:])}"
+              if step[0] == "g" else f"{name}.pos = place.pos // {16 ** int(step[1:])}")
+        joins.append(f"JOIN {name} ON {on}")
+        proof.append(f"{name}.l || {name}.r")
+        fold.append(f"CASE WHEN {name}n > 1 THEN sha256({name}l || {at} || {name}r) ELSE {at} END "
+                    f"AS x{len(fold)}")
+        at = f"x{len(fold) - 1}"
+    sides = ", ".join(f"{n}.n AS {n}n, {n}.l AS {n}l, {n}.r AS {n}r"
+                      for n in (s[0] + "s" + s[1:] for s in steps))
+    folds = "(SELECT * FROM wide)"
+    for f in fold:
+        folds = f"(SELECT *, {f} FROM {folds})"
+    return f"""
+WITH leaf AS (
+  SELECT doc_id, coalesce('s' || source, '-') AS grp, digest, start,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS n
+  FROM (SELECT doc_id, source, {hashed("text")} AS digest,
+    CASE WHEN {crc} % 5 = 0 AND text IS NOT NULL THEN {hashed(
+        "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+      ELSE {hashed("text")} END AS start
+    FROM documents)),
+g0 AS (SELECT grp, pos, n, digest FROM leaf),
+{tree("g", group_levels)},
+place AS (SELECT grp AS of, digest, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos,
+  count(*) OVER () AS n FROM g{group_levels}),
+t0 AS (SELECT '' AS grp, pos, n, digest FROM place),
+{tree("t", top_levels)},
+wide AS (SELECT leaf.doc_id, leaf.digest AS leaf, leaf.start, place.digest AS subroot,
+  t{top_levels}.digest AS root, sha256({" || ".join(proof)}) AS proof_sha256, {sides}
+  FROM leaf JOIN place ON place.of = leaf.grp {" ".join(joins)} CROSS JOIN t{top_levels})
+SELECT doc_id, leaf, subroot, root, proof_sha256, {at} AS folded_root, {at} = root AS verified
+FROM {folds}
+"""
+
+
 def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_hd_language,
                                       op4_decontamination, op5_byte_bpe, op6_url_filters,
@@ -162,4 +227,5 @@ def all_queries() -> dict[str, Query]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_quality_rules": QUALITY_SQL, "op6_url_filters": URL_SQL}
+    return {"op1_quality_rules": QUALITY_SQL, "op6_url_filters": URL_SQL,
+            "op12_merkle_manifest": merkle_sql()}
