@@ -31,6 +31,17 @@ def map_rows(df: DataFrame, each: Callable[..., tuple | None], schema: str) -> D
     return df.mapInArrow(run, schema)
 
 
+def map_batches(df: DataFrame, each: Callable[..., list[tuple]], schema: str) -> DataFrame:
+    """Rows that ``each`` makes of the columns, as lists, of every Arrow batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield to_batch(each(*(c.to_pylist() for c in batch.columns)), arrow_schema)
+
+    arrow_schema = arrow_of(df.sparkSession, schema)
+    small_batches(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def arrow_of(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

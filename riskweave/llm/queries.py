@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm import (
-    bpe, decontam, langid, merkle, pii, quality, repeats, sharding, simhash, toxicity, urlfilter,
+    bpe, decontam, langid, merkle, pii, quality, repeats, sharding, simhash, spelling, tokencache,
+    toxicity, urlfilter,
 )
 from riskweave.llm.common import table
 
@@ -24,6 +25,8 @@ URL_RULES = (
 BLOCKED_SITES = tuple(f"{site}.example.{top}" for top in ("com", "net", "org") for site in (
     "ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"))
 
+TOKEN_LIMIT = 2048
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -87,11 +90,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with its near words, its form and the root of its forms."""
+    return spelling.variants(table(spark, sf_dir, "documents")).select(
+        "word", "form", "root", "n", "n_near", "form_n")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots, proof, and whether each leaf still verifies after tampering."""
     return merkle.verify(merkle.manifest(table(spark, sf_dir, "documents")))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts, and which texts are longer than a context of TOKEN_LIMIT."""
+    return tokencache.token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+    ).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 URL_SQL = r"""
 WITH cut AS (
   SELECT page_id,
@@ -223,7 +239,8 @@ def all_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_quality_rules, op2_toxicity, op3_hd_language,
                                       op4_decontamination, op5_byte_bpe, op6_url_filters,
                                       op7_pii_pseudonyms, op8_minimax_shards, op9_run_length_dedup,
-                                      op10_simhash, op12_merkle_manifest)}
+                                      op10_simhash, op11_spelling_variants,
+                                      op12_merkle_manifest, op13_token_counts)}
 
 
 def all_oracles() -> dict[str, str]:
