@@ -29,7 +29,7 @@ from riskweave.llm.common import written
 
 ARITY = 16
 # Nodes that share a window partition; a multiple of ARITY.
-STRETCH = 4096
+STRETCH = 256
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 PATH = "array<struct<left:binary,right:binary>>"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -168,7 +168,8 @@ def proof_digest(path: Column) -> Column:
 def manifest(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, source group, leaf, altered, subroot, root (binary) and
     path, the proof that the leaf belongs to the root."""
-    placed = ranked(leaves(docs), ["doc_id", "leaf"], "leaves").withColumnRenamed(
+    # Written, as sorting by range reads its input twice, and texts are read once.
+    placed = ranked(written(leaves(docs), "leaves"), ["doc_id", "leaf"], "leaves").withColumnRenamed(
         "leaf", "digest")
     found = levels(placed, "group")
     subroots = written(tops(found), "subroots")
