@@ -13,6 +13,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from llm.near import near_survivors
 from llm.plans import plan_of
 from riskweave.llm import bpe, decontam, pii, quality, queries, sharding, simhash
 
@@ -296,18 +297,7 @@ def test_shard_edges(edge_docs, no_docs):
 def test_pipeline_against_its_parts(spark, sf_dir, texts, library):
     """Every stage redone in plain Python on what the stage before kept."""
     kept = {i: t for i, t in texts.items() if not quality.rejected(t)}
-    prints = {i: simhash.fingerprint(t) for i, t in kept.items()}
-    first: dict[int, int] = {}
-    for i in sorted(prints):
-        reach, todo = {i}, [i]
-        while todo:
-            x = todo.pop()
-            near = {j for j in prints if j not in reach
-                    and (prints[x] ^ prints[j]).bit_count() <= 2}
-            reach |= near
-            todo += near
-        first[i] = min(reach)
-    kept = {i: t for i, t in kept.items() if first[i] == i}
+    kept = {i: kept[i] for i in near_survivors(kept)}
     items = [decontam.words_of(r.text) for r in spark.read.parquet(
         f"{sf_dir}/benchmark.parquet").collect()]
     spaced = [b" " + b" ".join(w) + b" " for w in items if len(w) >= decontam.LEAST_WORDS]
