@@ -155,17 +155,16 @@ def encode_missing(texts: DataFrame, path: str) -> DataFrame:
     return map_batches(texts.select("content", "text"), run, "content binary, n_tokens bigint")
 
 
-def fill_cache(docs: DataFrame, keyed: DataFrame, path: str, cache: str,
+def fill_cache(docs: DataFrame, contents: DataFrame, path: str, cache: str,
                few_misses: int = FEW_MISSES) -> None:
     """Append the counts of all texts of ``docs`` that the cache does not have.
 
-    ``keyed`` is the written content of ``docs``. Copies of a text are merged before the
+    ``contents`` has the distinct digests of ``docs``. Copies of a text are merged before the
     shuffle, so a text that very many rows hold costs one row per task.
     """
     spark, tokenizer = docs.sparkSession, tokenizer_digest(path)
     known = read_cache(spark, cache, tokenizer)
-    missing = written(keyed.select("content").distinct().join(known, "content", "left_anti"),
-                      "token-misses")
+    missing = written(contents.join(known, "content", "left_anti"), "token-misses")
     n = missing.count()
     if not n:
         return
@@ -196,6 +195,9 @@ def token_counts(docs: DataFrame, path: str, cache: str | None = None) -> DataFr
     keyed = written(docs.select(
         docs["doc_id"], F.octet_length(F.coalesce(docs["text"], F.lit(""))).cast("bigint")
         .alias("n_bytes"), content_of(docs, path)), "token-keys")
-    fill_cache(docs, keyed, path, cache)
-    counts = read_cache(spark, cache, tokenizer_digest(path))
+    contents = written(keyed.select("content").distinct(), "token-contents")
+    fill_cache(docs, contents, path, cache)
+    # Written, so that the join below has plain tables on both sides and splits hot texts.
+    counts = written(contents.join(read_cache(spark, cache, tokenizer_digest(path)), "content"),
+                     "token-counts")
     return keyed.join(counts, "content").select("doc_id", "n_bytes", "n_tokens")

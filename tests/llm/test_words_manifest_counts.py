@@ -294,8 +294,8 @@ def test_few_and_many_misses_give_the_same(spark, documents, tmp_path):
     found = []
     for few in (0, 10**6):
         cache = str(tmp_path / f"cache-{few}")
-        keyed = documents.select("doc_id", tokencache.content_of(documents, WORD_BPE))
-        tokencache.fill_cache(documents, keyed, WORD_BPE, cache, few)
+        contents = documents.select(tokencache.content_of(documents, WORD_BPE)).distinct()
+        tokencache.fill_cache(documents, contents, WORD_BPE, cache, few)
         found.append(sorted(map(tuple, spark.read.parquet(cache).collect())))
     assert found[0] == found[1]
 
