@@ -27,8 +27,15 @@ from pyspark.sql import DataFrame
 
 from riskweave.llm.common import map_rows
 
-# Pieces whose encoding one worker remembers at most; then it starts anew.
-MEMO_PIECES = 350_000
+# Stretches whose encoding one worker remembers at most, the half of them that was not asked
+# for lately goes first.
+MEMO_CHUNKS = 400_000
+# Byte prefixes whose last token one worker remembers at most; then it starts anew.
+MEMO_PREFIXES = 1_000_000
+# The same for pairs of tokens that fit and for the tokens that end a prefix.
+MEMO_PAIRS = 350_000
+# Pieces of more bytes than this are encoded without leaving prefixes behind.
+LONGEST_SHARED = 64
 NEVER = 1 << 62
 
 
@@ -61,7 +68,8 @@ class Vocabulary:
         self._left: dict[int, tuple[int, ...]] = {}
         self.sizes = [len(t) for t in self.tokens]
         self.known_fits: dict[tuple[int, int], bool] = {}
-        self._memo: dict[str, tuple[int, ...]] = {}
+        self.names = [str(rank) for rank in range(len(self.tokens))]
+        self._prefixes = Prefixes(self)
         self._spaced = SpacedChunks(self)
 
     def _merged(self, token: bytes, below: int) -> list[int]:
@@ -87,7 +95,7 @@ class Vocabulary:
         """Whether the encoding of both tokens' bytes is just these two tokens."""
         known = self.known_fits.get((first, second))
         if known is None:
-            if len(self.known_fits) > MEMO_PIECES:
+            if len(self.known_fits) > MEMO_PAIRS:
                 self.known_fits.clear()
             known = self.known_fits[first, second] = self._seam_holds(first, second)
         return known
@@ -110,20 +118,18 @@ class Vocabulary:
                 j += 1
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(ids for ids, _ in self._chunks(text)))
+        return [int(token) for _, written, _ in self._chunks(text) for token in written.split()]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Token count, hash of the ids as text, hash of the bytes decoded from the ids."""
-        chunks = self._chunks(text)
-        ids = list(chain.from_iterable([ids for ids, _ in chunks]))
-        written = " ".join([written for _, written in chunks])
-        return (len(ids), hashlib.sha256(written.encode()).hexdigest(),
-                hashlib.sha256(self.decode(ids)).hexdigest())
+        counts, written, decoded = zip(*self._chunks(text)) if text else ((), (), ())
+        return (sum(counts), hashlib.sha256(" ".join(written).encode()).hexdigest(),
+                hashlib.sha256(b"".join(decoded)).hexdigest())
 
-    def _chunks(self, text: str) -> list[tuple[tuple[int, ...], str]]:
+    def _chunks(self, text: str) -> list[tuple[int, str, bytes]]:
         """Encodings of the stretches between single spaces, each remembered.
 
         A single space between two other characters always begins a match, so the matches
@@ -133,42 +139,123 @@ class Vocabulary:
         if not text:
             return []
         first, *rest = text.split(" ")
-        chunks = [self._chunk(first)] if first and not first[-1].isspace() else [None]
-        chunks += map(self._spaced.__getitem__, rest)
-        return [self._chunk(text)] if None in chunks else chunks
-
-    def _chunk(self, text: str) -> tuple[tuple[int, ...], str]:
-        ids = tuple(chain.from_iterable(map(self._piece, self.find_pieces(text))))
-        return ids, " ".join(map(str, ids))
-
-    def _piece(self, piece: str) -> tuple[int, ...]:
+        if not first or first[-1].isspace():
+            return [self._chunk(text)]
+        try:
+            return [self._chunk(first), *map(self._spaced.__getitem__, rest)]
+        except Inseparable:
+            return [self._chunk(text)]
+
+    def _chunk(self, text: str) -> tuple[int, str, bytes]:
+        """Number of ids, the ids as text, and the bytes that they decode to."""
+        pieces = self.find_pieces(text)
+        ids = (self._piece(pieces[0]) if len(pieces) == 1
+               else list(chain.from_iterable(map(self._piece, pieces))))
+        return len(ids), " ".join([self.names[token] for token in ids]), self.decode(ids)
+
+    def _piece(self, piece: str) -> tuple[int, ...] | list[int]:
         data = piece.encode()
         whole = self.ranks.get(data)  # a piece that is itself a token stays one
         if whole is not None:
             return (whole,)
-        if len(piece) > 64:
-            return tuple(PrefixTable(self, data).ids())
-        known = self._memo.get(piece)
-        if known is None:
-            if len(self._memo) >= MEMO_PIECES:
-                self._memo.clear()
-            known = self._memo[piece] = tuple(PrefixTable(self, data).ids())
-        return known
+        if len(data) > LONGEST_SHARED:
+            return PrefixTable(self, data).ids()
+        return self._prefixes.ids(data)
 
 
-class SpacedChunks(dict):
-    """Chunk without its leading space -> encoding with it; None: not separable."""
+class Prefixes:
+    """Last tokens of the byte prefixes of all pieces seen, each stored once.
+
+    A prefix's last token does not depend on what follows it, so a new piece only adds what
+    lies behind its longest known prefix. Whatever is stored, its own prefixes are too.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        # All that can be the beginning of a token, to follow the tokens that end at a byte.
+        self.begins = {token[:i] for token in vocabulary.usable for i in range(len(token) + 1)}
+        self.endings: dict[bytes, list[tuple[int, int, tuple[int, bytes]]]] = {}
+        # Prefix -> its last token, and its longest end that begins a token. Entries with the
+        # same two share one tuple.
+        self.known: dict[bytes, tuple[int, bytes]] = {}
+
+    def ids(self, data: bytes) -> list[int]:
+        known, sizes = self.known, self.vocabulary.sizes
+        found = known.get(data) or self._add(data)
+        out, at = [], len(data)
+        while True:
+            token = found[0]
+            out.append(token)
+            at -= sizes[token]
+            if not at:
+                out.reverse()
+                return out
+            found = known[data[:at]]
+
+    def _add(self, data: bytes) -> tuple[int, bytes]:
+        """Entry of a new piece, after those of all its prefixes. Of the tokens that end at a
+        byte exactly one fits what precedes it."""
+        if len(self.known) > MEMO_PREFIXES:
+            self.known.clear()
+        known, fitting, at, found = self.known, self.vocabulary.known_fits, len(data), None
+        while at and found is None:
+            at -= 1
+            found = known.get(data[:at])
+        suffix = found[1] if found else b""
+        for at in range(at, len(data)):
+            end = suffix + data[at:at + 1]
+            for size, token, entry in self.endings.get(end) or self._endings(end):
+                before = at + 1 - size
+                if before:
+                    pair = known[data[:before]][0], token
+                    fits = fitting.get(pair)
+                    if fits is None:
+                        fits = self.vocabulary.fits(*pair)
+                    if not fits:
+                        continue
+                found = known[data[:at + 1]] = entry
+                suffix = entry[1]
+                break
+            else:
+                raise ValueError(f"no token for byte {data[at]}")
+        return found
+
+    def _endings(self, text: bytes) -> list[tuple[int, int, tuple[int, bytes]]]:
+        """Size and rank of all tokens that are ends of ``text``, longest first, with the
+        entry of a prefix that ends like that."""
+        if len(self.endings) > MEMO_PAIRS:
+            self.endings.clear()
+        usable, suffix = self.vocabulary.usable, text
+        while suffix not in self.begins:
+            suffix = suffix[1:]
+        ends = [(len(suffix) - i, suffix[i:]) for i in range(len(suffix)) if suffix[i:] in usable]
+        self.endings[text] = found = [
+            (size, usable[token], (usable[token], suffix)) for size, token in ends]
+        return found
+
+
+class Inseparable(ValueError):
+    """A stretch whose matches may depend on what surrounds it."""
+
+
+class SpacedChunks(dict):
+    """Chunk without its leading space -> encoding with it."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary, self.older = vocabulary, {}
 
     def __missing__(self, chunk: str):
-        separable = chunk and not chunk[0].isspace() and not chunk[-1].isspace()
-        encoded = self.vocabulary._chunk(" " + chunk) if separable else None
-        if len(self) >= MEMO_PIECES:
+        encoded = self.older.get(chunk)
+        if encoded is None:
+            if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+                raise Inseparable
+            encoded = self.vocabulary._chunk(" " + chunk)
+            if len(chunk) > LONGEST_SHARED:
+                return encoded
+        if len(self) >= MEMO_CHUNKS // 2:
+            self.older = dict(self)
             self.clear()
-        if len(chunk) <= 64:
-            self[chunk] = encoded
+        self[chunk] = encoded
         return encoded
 
 
