@@ -226,6 +226,10 @@ def _closed_windows(table: str, slide: str, keys: str, measures: str, offsets: s
       HAVING ws + INTERVAL 1 MINUTE <= (SELECT max(event_ts) FROM txn) - INTERVAL 30 SECOND"""
 
 
+# Whether the watermark has passed the minute of a row.
+MINUTE_CLOSED = """date_trunc('minute', event_ts) + INTERVAL 1 MINUTE
+  <= (SELECT max(event_ts) FROM txn) - INTERVAL 30 SECOND"""
+
 RAW_STREAM = f"""
 raws AS (
   SELECT t.*, coalesce(c.risk, 0.9::DOUBLE) AS country_risk,
@@ -562,6 +566,31 @@ def all_oracles() -> dict[str, str]:
         QUALIFY row_number() OVER (PARTITION BY user_id
           ORDER BY event_ts DESC, transaction_id DESC) = 1""", RAW_STREAM)
 
+    out["active_user_risk"] = _sql(f"""SELECT user_id, round(score, 6) AS risk_score,
+        {ts('event_ts', True)} AS scored_at
+        FROM (SELECT DISTINCT user_id, score, event_ts, transaction_id FROM rs)
+        QUALIFY row_number() OVER (PARTITION BY user_id
+          ORDER BY event_ts DESC, transaction_id DESC) = 1
+          AND event_ts + INTERVAL 1 DAY
+            > (SELECT max(event_ts) FROM rs) - INTERVAL 30 SECOND""", RAW_STREAM)
+    out["user_risk_state"] = out["active_user_risk"]
+    out["dedup_state"] = _sql(f"""SELECT DISTINCT transaction_id,
+        {ts('event_ts', True)} AS event_at FROM rs
+        WHERE event_ts > (SELECT max(event_ts) FROM rs) - INTERVAL 1 DAY""", RAW_STREAM)
+    closed = f"""(SELECT *, {MINUTE_CLOSED} AS closed FROM rs)"""
+    spans = [(f"'{name}'", ts(f"date_trunc('{name}', event_ts)"), "GROUP BY 2")
+             for name in ("hour", "day")] + [("'all'", "NULL", "")]
+    out["active_users_sketch"] = _sql(" UNION ALL ".join(
+        f"""SELECT {name} AS span, {start} AS window_start,
+        CAST(count(DISTINCT user_id) AS BIGINT) AS active_users
+        FROM {closed} WHERE closed {group}""" for name, start, group in spans), RAW_STREAM)
+    ranked = ", ".join(f"round(quantile_disc(delay, {q}), 6) AS {n}"
+                       for n, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)))
+    out["delay_sketch_quantiles"] = _sql(f"""SELECT {ts("date_trunc('hour', event_ts)")}
+        AS window_start, {N} AS count, {ranked} FROM (SELECT *,
+          date_diff('second', event_ts, proc_ts)::DOUBLE AS delay FROM {closed})
+        WHERE closed GROUP BY 1""", RAW_STREAM)
+
     out["training_set"] = _sql("""SELECT transaction_id,
         CASE WHEN label = 'fraud' THEN 1::DOUBLE ELSE 0::DOUBLE END AS label,
         CAST('0x' || substr(md5(transaction_id), 1, 8) AS BIGINT) % 100 < 80 AS in_train

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from riskweave.functions import scoring
 from riskweave.operators import (
-    dedup, enrich, history, metrics, model, profiles, quality, serving, views,
+    dedup, enrich, history, metrics, model, profiles, quality, serving, sketches, views,
 )
 from riskweave.plans import batch as batch_plan
-from riskweave.session import work_path
+from riskweave.session import rocksdb_state, work_path
 from riskweave.settings import (
     CATEGORY_RISK, COUNTRY_RISK, DEFAULTS, E2E_LATENCY_BOUNDS, JOB_CATEGORY_RISK,
     JOB_COUNTRY_RISK, PROCESSING_LATENCY_BOUNDS, SCORE_BOUNDS,
@@ -26,7 +26,7 @@ from riskweave.settings import (
 from riskweave.schema import ALERT_COLUMNS
 from riskweave.sources import events, stores
 from riskweave.sources.risk_tables import constant_table
-from riskweave.streaming import sinks, speed
+from riskweave.streaming import inspection, sinks, speed, user_state
 from riskweave.times import moment
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -870,6 +870,67 @@ def current_user_risk(spark, sf_dir):
         text("scored_at", True).alias("scored_at"))
 
 
+@query
+def active_user_risk(spark, sf_dir):
+    """Current score of the users that have not been idle for a day; the others have left
+    the state."""
+    scored = scoring.score(stream_rows(spark, sf_dir), "stream")
+    with rocksdb_state(spark):
+        updates = run_stream(spark, "active-risk", user_state.current_user_risk(scored),
+                             "update")
+    return user_state.active(updates).select(
+        "user_id", r6("risk_score").alias("risk_score"),
+        text("scored_at", True).alias("scored_at"))
+
+
+@query
+def user_risk_state(spark, sf_dir):
+    """The same users, read from the state that the stopped stream has left."""
+    scored = scoring.score(stream_rows(spark, sf_dir), "stream")
+    root = work_path(spark, "risk-state")
+    with rocksdb_state(spark):
+        sinks.drain(user_state.current_user_risk(scored), sinks.append_batches(root, "t"),
+                    f"{root}/checkpoint", "update")
+    return inspection.user_records(spark, f"{root}/checkpoint").select(
+        "user_id", r6("risk_score").alias("risk_score"),
+        text("scored_at", True).alias("scored_at"))
+
+
+@query
+def dedup_state(spark, sf_dir):
+    """Keys that a deduplication with a watermark of a day still remembers at its end."""
+    root = work_path(spark, "dedup-state")
+    sinks.drain(dedup.stream_first_seen(stream_rows(spark, sf_dir), "1 day"),
+                sinks.append_batches(root, "t"), f"{root}/checkpoint")
+    return inspection.dedup_keys(spark, f"{root}/checkpoint").select(
+        "transaction_id", text("event_timestamp", True).alias("event_at"))
+
+
+def window_sketches(spark, sf_dir) -> DataFrame:
+    """Sketches per closed minute, written by a stream."""
+    rows = stream_rows(spark, sf_dir).withWatermark("event_timestamp", DEFAULTS.watermark_delay)
+    return run_stream(spark, "sketches", sketches.per_window(rows, DEFAULTS.window_duration))
+
+
+@query
+def active_users_sketch(spark, sf_dir):
+    """Distinct users per hour, per day and in all, merged from the sketches per minute."""
+    written = window_sketches(spark, sf_dir)
+    parts = [sketches.active_users(written, every).select(
+        F.lit(name).alias("span"), text("window_start").alias("window_start"), "active_users")
+        for name, every in (("hour", "1 hour"), ("day", "1 day"))]
+    return parts[0].unionByName(parts[1]).unionByName(sketches.active_users(written).select(
+        F.lit("all").alias("span"), F.lit(None).cast("string").alias("window_start"),
+        "active_users"))
+
+
+@query
+def delay_sketch_quantiles(spark, sf_dir):
+    """Quantiles of the delay per hour, merged from the sketches per minute."""
+    rows = sketches.quantiles(window_sketches(spark, sf_dir), "1 hour")
+    return rounded(rows, p50=6, p95=6, p99=6).withColumn("window_start", text("window_start"))
+
+
 # ---- model ---------------------------------------------------------------------------
 
 @query

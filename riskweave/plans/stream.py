@@ -6,14 +6,17 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from riskweave.functions.scoring import profile, score
+from riskweave.operators import sketches
 from riskweave.operators.model import predict
 from riskweave.operators.quality import (
     accepted, dead_letters, lateness, parse_messages, validate,
 )
 from riskweave.schema import ALERT_COLUMNS, TRANSACTION
+from riskweave.session import rocksdb_state
 from riskweave.settings import DEFAULTS, Settings
 from riskweave.sources.stores import publish_messages
-from riskweave.streaming import sinks, speed
+from riskweave.streaming import sinks, speed, user_state
 
 
 def start(records: DataFrame, root: str, checkpoint: str, model: PipelineModel | None = None,
@@ -46,10 +49,23 @@ def start_windows(records: DataFrame, root: str, checkpoint: str, s: Settings =
 
 def start_user_risk(records: DataFrame, root: str, checkpoint: str, s: Settings = DEFAULTS,
                     available_now: bool = False) -> StreamingQuery:
-    """Score of every user's newest transaction; read it with ``sinks.newest_per_user``."""
-    risk = speed.current_user_risk(speed.score_stream(speed.to_transactions(records), s=s))
-    return sinks.start(risk, sinks.append_batches(root, "user_risk"), checkpoint, "update", s,
-                       available_now)
+    """Score of every user's newest transaction, until the user has been idle for
+    ``user_idle_seconds``; read it with ``user_state.active``."""
+    risk = user_state.current_user_risk(score(speed.to_transactions(records), profile(
+        "stream", s.fraud_threshold), high_amount=s.high_amount), s)
+    with rocksdb_state(records.sparkSession):
+        return sinks.start(risk, sinks.append_batches(root, "user_risk"), checkpoint, "update",
+                           s, available_now)
+
+
+def start_user_sketches(records: DataFrame, root: str, checkpoint: str,
+                        s: Settings = DEFAULTS, available_now: bool = False) -> StreamingQuery:
+    """Mergeable sketches per window of the users seen and of the delays; read them with
+    ``sketches.active_users`` and ``sketches.quantiles``."""
+    rows = sketches.per_window(speed.to_transactions(records).withWatermark(
+        "event_timestamp", s.watermark_delay), s.window_duration)
+    return sinks.start(rows, sinks.append_batches(root, "sketches"), checkpoint, s=s,
+                       available_now=available_now)
 
 
 def start_late_events(records: DataFrame, root: str, checkpoint: str,
@@ -79,5 +95,5 @@ def start_alert_topic(records: DataFrame, root: str, checkpoint: str,
 
 # Outputs that run as jobs of their own, each with its own checkpoint and consumer.
 JOBS = {"dead-letters": start_dead_letters, "windows": start_windows,
-        "user-risk": start_user_risk, "late-events": start_late_events,
+        "user-risk": start_user_risk, "sketches": start_user_sketches, "late-events": start_late_events,
         "landing": start_landing, "alert-topic": start_alert_topic}

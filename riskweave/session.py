@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -37,9 +39,32 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    # Every batch uploads its changes, not whole snapshots.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def use_rocksdb_state(spark: SparkSession) -> None:
     """Keep streaming state off the JVM heap; needed once state outgrows memory."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """The same for the queries that start inside the block."""
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+    use_rocksdb_state(spark)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 _local_roots: dict[str, str] = {}

@@ -65,6 +65,8 @@ class Settings:
     mongodb_uri: str = "mongodb://localhost:27017"
     mongodb_database: str = "transaction_risk"
     realtime_ttl_seconds: int = 3600
+    # A user without a transaction for so long leaves the state of current risk scores.
+    user_idle_seconds: int = 86_400
     fraud_threshold: float = 0.7
     velocity_window_seconds: int = 300
     # Width of the time slices a user's history is cut into before windowing. Narrower
