@@ -1,13 +1,14 @@
-"""Jobs for spark-submit: ``batch`` rebuilds the views, ``stream`` runs the speed layer,
-``output`` one further output of the same input."""
+"""Jobs for spark-submit: ``batch`` rebuilds the views, ``days`` the views of some days,
+``stream`` runs the speed layer, ``output`` one further output of the same input, ``maintain``
+applies retention and compaction and deletes dead folders."""
 
 from __future__ import annotations
 
 import argparse
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from riskweave.operators import model
-from riskweave.plans import batch, stream
+from riskweave.plans import batch, incremental, serve, stream
 from riskweave.session import build_session, use_rocksdb_state
 from riskweave.settings import Settings
 from riskweave.streaming import speed
@@ -21,6 +22,16 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--input", required=True, help="landing folder with year=/month=/day=")
     b.add_argument("--output", required=True)
     b.add_argument("--no-model", action="store_true")
+    d = jobs.add_parser("days")
+    d.add_argument("--input", required=True, help="landing folder with year=/month=/day=")
+    d.add_argument("--output", required=True)
+    d.add_argument("--first", required=True, type=date.fromisoformat)
+    d.add_argument("--last", required=True, type=date.fromisoformat)
+    m = jobs.add_parser("maintain")
+    m.add_argument("--realtime", help="output of the stream job")
+    m.add_argument("--days", help="output of the days job")
+    m.add_argument("--keep-hours", type=int, default=24,
+                   help="longer than any run and any read of a view")
     s = jobs.add_parser("stream")
     s.add_argument("--output", required=True)
     s.add_argument("--checkpoint", required=True)
@@ -36,8 +47,19 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark, settings = build_session(f"riskweave-{args.job}"), Settings.from_env()
+    now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
+    if args.job == "days":
+        print(incremental.run_days(spark, args.input, args.output, args.first, args.last, now,
+                                   s=settings))
+        return
+    if args.job == "maintain":
+        keep = timedelta(hours=args.keep_hours)
+        if args.realtime:
+            print(serve.maintain(spark, args.realtime, now, keep=keep))
+        if args.days:
+            print(incremental.collect(spark, args.days, now, keep))
+        return
     if args.job == "batch":
-        now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
         valid, rejected = batch.read_valid(spark, args.input)
         done = batch.run(spark, valid, args.output, now, settings,
                          train_model=not args.no_model, rejected=rejected)

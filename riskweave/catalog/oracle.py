@@ -641,4 +641,13 @@ def all_oracles() -> dict[str, str]:
         merchant_risk, velocity_count, round(velocity_amount, 4) AS velocity_amount,
         gap AS time_since_last, round(z, 4) AS amount_zscore, round(score, 6) AS fraud_score,
         hit AS is_fraud_predicted FROM sb""", SHORT)
+    out["incremental_scored"] = out["batch_scored"]
+    out["incremental_country_stats"] = _sql(f"""SELECT country, {N} AS total_transactions,
+        round(sum(amount), 4) AS total_amount, {_n('hit')} AS fraud_count,
+        round(avg(score), 10) AS avg_fraud_score,
+        {_share(_n('hit'), N)} AS fraud_rate FROM sb GROUP BY country""", SHORT)
+    out["incremental_parts"] = _sql(f"""SELECT strftime(event_ts, 'day=%Y-%m-%d') AS part,
+        {N} AS total_transactions, CAST(CASE WHEN strftime(event_ts, '%Y-%m-%d') IN
+          ('2024-01-10', '2024-01-11') THEN 2 ELSE 1 END AS BIGINT) AS version
+        FROM ded GROUP BY ALL""")
     return out

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +18,14 @@ from riskweave.operators import (
     dedup, enrich, history, metrics, model, profiles, quality, serving, sketches, views,
 )
 from riskweave.plans import batch as batch_plan
+from riskweave.plans import incremental
 from riskweave.session import rocksdb_state, work_path
 from riskweave.settings import (
     CATEGORY_RISK, COUNTRY_RISK, DEFAULTS, E2E_LATENCY_BOUNDS, JOB_CATEGORY_RISK,
     JOB_COUNTRY_RISK, PROCESSING_LATENCY_BOUNDS, SCORE_BOUNDS,
 )
 from riskweave.schema import ALERT_COLUMNS
-from riskweave.sources import events, stores
+from riskweave.sources import events, manifest, stores
 from riskweave.sources.risk_tables import constant_table
 from riskweave.streaming import inspection, sinks, speed, user_state
 from riskweave.times import moment
@@ -671,6 +672,48 @@ def loss_check(spark, sf_dir):
         "transaction_id", F.col("_label").alias("label"))
 
 
+# ---- batch by day --------------------------------------------------------------------
+
+RERUN = (date(2024, 1, 10), date(2024, 1, 11))
+
+
+def day_views(spark: SparkSession, sf_dir: str) -> str:
+    """All days, run as one range, then two of them once more."""
+    landing, root = work_path(spark, "landing"), work_path(spark, "days")
+    stores.land(events.to_messages(raw(spark, sf_dir)), landing)
+    for first, last in ((date(2024, 1, 1), date(2024, 1, 31)), RERUN):
+        incremental.run_days(spark, landing, root, first, last, AS_OF, 300)
+    return root
+
+
+@query
+def incremental_scored(spark, sf_dir):
+    """Scored rows of all days after a rerun of two: those of the full batch."""
+    return rounded(incremental.read_days(spark, day_views(spark, sf_dir), "fraud_results").select(
+        "transaction_id", "user_id", "amount", "country_risk", "merchant_risk",
+        "velocity_count", "velocity_amount", "time_since_last", "amount_zscore",
+        "fraud_score", "is_fraud_predicted",
+    ), velocity_amount=4, amount_zscore=4, fraud_score=6)
+
+
+@query
+def incremental_country_stats(spark, sf_dir):
+    rows = incremental.country_stats(spark, day_views(spark, sf_dir))
+    return rounded(rows, total_amount=4, avg_fraud_score=10, fraud_rate=9)
+
+
+@query
+def incremental_parts(spark, sf_dir):
+    """Version and rows of every live day; two days were replaced."""
+    root = day_views(spark, sf_dir)
+    versions = manifest.entries(spark, root).where("view = 'daily_stats'").groupBy("part").agg(
+        F.max("version").alias("version"))
+    rows = incremental.read_days(spark, root, "daily_stats").select(
+        F.concat(F.lit("day="), F.col("day").cast("string")).alias("part"),
+        "total_transactions")
+    return rows.join(versions, "part")
+
+
 # ---- serving -------------------------------------------------------------------------
 
 def _alert_result(df: DataFrame) -> DataFrame:

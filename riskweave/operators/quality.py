@@ -18,8 +18,9 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
 
-def parse_messages(raw: DataFrame, schema: T.StructType = TRANSACTION) -> DataFrame:
-    """``value`` (bytes or text) to typed columns.
+def parse_messages(raw: DataFrame, schema: T.StructType = TRANSACTION,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """``value`` (bytes or text) to typed columns, beside the columns to ``keep``.
 
     The raw text is kept in ``raw_value``; ``_corrupt_record`` is set where the text is
     no JSON or a field has the wrong type. Times that do not parse become null.
@@ -32,8 +33,8 @@ def parse_messages(raw: DataFrame, schema: T.StructType = TRANSACTION) -> DataFr
     # ``inline`` of a one-element array keeps filters above the parse; pushed below it,
     # every condition would parse the text again.
     return add_times(
-        raw.select(F.col("value").cast("string").alias("raw_value"))
-        .select("raw_value", F.inline(F.array(parsed)))
+        raw.select(F.col("value").cast("string").alias("raw_value"), *keep)
+        .select("raw_value", *keep, F.inline(F.array(parsed)))
     )
 
 

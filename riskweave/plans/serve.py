@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.operators import metrics, serving, views
-from riskweave.sources import stores
+from riskweave.sources import manifest, microbatches, stores
 from riskweave.times import moment
 
 # Columns both layers share in merged answers.
@@ -21,43 +20,46 @@ REALTIME_COLUMNS = (
 )
 
 
-def realtime_view(spark: SparkSession, root: str, known: dict[str, str] | None = None,
-                  upto: int | None = None) -> DataFrame:
-    """Micro-batches not yet compacted (up to a batch, if one is given), plus the newest
-    compaction. Which is which comes from one metadata read."""
-    known = stores.metadata(spark, root) if known is None else known
-    live = spark.read.parquet(f"{root}/realtime_views")
-    if upto is not None:
-        live = live.filter(F.col("batch_id") <= upto)
-    if "compacted_run" not in known:
-        return live.select(*REALTIME_COLUMNS)
-    live = live.filter(F.col("batch_id") > int(known["compacted_batch"]))
-    older = spark.read.parquet(f"{root}/compacted/run_id={known['compacted_run']}")
-    return live.select(*REALTIME_COLUMNS).unionByName(older)
+# Tables of the speed layer.
+LIVE_TABLES = ["realtime_views", "fraud_alerts", "dashboard_stats"]
+# How long a replaced folder stays for readers that have it open.
+KEEP_REPLACED = timedelta(hours=1)
+
+
+def realtime_view(spark: SparkSession, root: str) -> DataFrame:
+    """Rows of all micro-batches, packed or not, as one manifest read finds them."""
+    return microbatches.read(spark, root, "realtime_views").select(*REALTIME_COLUMNS)
 
 
 def purge_realtime(spark: SparkSession, root: str, as_of: datetime, hours: int = 2) -> int:
     """Drop realtime rows past their retention; returns how many.
 
-    What is kept of the batches before the newest moves into a compacted table that takes
-    effect with one metadata append. The newest batch may still be written, and others may
-    arrive meanwhile: all of them stay live. Without an earlier batch nothing happens.
+    What is kept of the batches before the newest is packed anew and takes effect with one
+    manifest commit. The newest batch may still be written, and others may arrive meanwhile:
+    all of them stay as they are. Without an earlier batch nothing happens.
     """
-    newest = spark.read.parquet(f"{root}/realtime_views").agg(F.max("batch_id")).first()[0]
-    known = stores.metadata(spark, root)
-    upto = None if newest is None else int(newest) - 1
-    if upto is None or upto <= int(known.get("compacted_batch", -1)):
+    parts = manifest.read(spark, root).of("realtime_views")
+    found = microbatches.batch_ids(spark, root, "realtime_views")
+    if not found or found[-1] - 1 <= microbatches.packed_upto(parts):
         return 0
     now = moment(as_of)
-    rows = realtime_view(spark, root, known, upto)
+    rows = microbatches.read(spark, root, "realtime_views", found[-1] - 1, parts)
     gone = serving.retention_counts(rows, now, hours).first()["deleted"]
-    run_id = f"{as_of:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
-    stores.publish(serving.retained(rows, now, hours), root, "compacted", run_id)
-    stores.put_metadata(
-        spark, root, {"compacted_run": run_id, "compacted_batch": str(upto)}, as_of)
+    microbatches.compact(spark, root, "realtime_views", as_of,
+                         kept=lambda packed: serving.retained(packed, now, hours))
     return gone
 
 
+def maintain(spark: SparkSession, root: str, as_of: datetime, hours: int = 2,
+             keep: timedelta = KEEP_REPLACED) -> dict[str, int]:
+    """Retention, compaction and removal of dead folders of the speed layer's tables; the
+    number of rows dropped, batches packed and folders deleted."""
+    dropped = purge_realtime(spark, root, as_of, hours)
+    packed = sum(microbatches.compact(spark, root, table, as_of) for table in LIVE_TABLES[1:])
+    return {"rows_dropped": dropped, "batches_packed": packed,
+            "folders_deleted": len(microbatches.collect(spark, root, LIVE_TABLES, as_of, keep))}
+
+
 def create_api(spark: SparkSession, batch_root: str, realtime_root: str,
                clock: Callable[[], datetime] | None = None) -> dict[str, Callable]:
     """Name to function; every function returns a frame or a dict of frames."""

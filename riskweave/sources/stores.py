@@ -133,6 +133,14 @@ def read_landed_text(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).text(root)
 
 
+def read_landed_days(spark: SparkSession, root: str) -> DataFrame:
+    """The same with year, month and day of the folders, so that filters on them leave
+    folders out."""
+    dates = [T.StructField(n, T.IntegerType()) for n in ("year", "month", "day")]
+    return spark.read.schema(T.StructType(
+        [T.StructField("value", T.StringType()), *dates])).text(root)
+
+
 def read_compact(spark: SparkSession, root: str) -> DataFrame:
     return read_landing(spark, root, COMPACT_TRANSACTION)
 

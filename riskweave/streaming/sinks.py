@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskweave.operators.views import period_stats
 from riskweave.schema import ALERT_COLUMNS
 from riskweave.settings import DEFAULTS, Settings
+from riskweave.sources import microbatches
 from riskweave.times import moment
 
 
@@ -101,8 +102,8 @@ def start_console(scored: DataFrame, checkpoint: str, s: Settings = DEFAULTS) ->
 
 
 def read_batches(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All micro-batches of a table, with their ``batch_id``."""
-    return spark.read.parquet(f"{root}/{table}")
+    """All micro-batches of a table, with their ``batch_id``, packed or not."""
+    return microbatches.read(spark, root, table)
 
 
 def newest_per_user(updates: DataFrame) -> DataFrame:
