@@ -7,7 +7,9 @@ nothing or for a word's end. Viterbi decoding finds the cheapest path under a ch
 model of four letters, counted over all texts, plus the cost of each disguise. Plain words
 have a single path and stay.
 
-Restored words and their beginnings are then scored: a feature's weight is the lower end
+Letters with accents count as their base letters throughout. Tokens of any length are decoded.
+
+Restored words (plain ones where there is no disguise) and their beginnings are then scored: a feature's weight is the lower end
 of a confidence interval of its log odds among labelled texts, a text's score the base odds
 times the odds of its strongest feature. Weights are learned from at most ``TRAINING_ROWS``
 labelled rows, chosen by a hash of their id; equal texts count once.
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from zlib import crc32
@@ -44,6 +47,7 @@ ODD_FACTORS = (2654435761, 2246822519)
 SKETCHES = len(ODD_FACTORS)
 LONG_WORD = 6
 COMMONEST_SHARE = 0.5  # of a beginning's toxic texts that one word may have
+EVERY_TEXT = ""  # a feature that every text has
 MEMO_TOKENS = 500_000
 BLOCK = 1 << 22
 
@@ -61,17 +65,16 @@ SIGNS_AT_END = re.compile(r"[@$|+(!]{2,}$|!+$|^[@$|+(!]{3,}")
 PLAIN = re.compile(r"[^\W\d_]+")
 LONG_RUN = re.compile(r"([^\W\d_])\1\1")
 SPREAD = re.compile(r"[a-z0-9@$!|+](?:[.\-_*·][a-z0-9@$!|+]){2,}")
-SPACED = re.compile(r"(?<!\S)[a-z0-9@$!|+](?: [a-z0-9@$!|+]){2,}(?!\S)")
+SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+])(?: (?:[^\W_]|[@$!|+])){2,}(?!\S)")
 HAS_LETTER = re.compile(r"[a-z]")
 
 
 # ---- character model -----------------------------------------------------------------
 
 def letter_codes() -> np.ndarray:
-    """Byte to letter code: a-z and A-Z to 1-26, anything else to 0."""
-    codes = np.zeros(256, np.int32)
-    codes[97:123] = codes[65:91] = np.arange(1, 27)
-    return codes
+    """Latin-1 byte to letter code: base letters to 1-26, anything else to 0."""
+    base = [chr(BASE_LETTERS[b]).lower() for b in range(256)]
+    return np.array([ord(c) - 96 if "a" <= c <= "z" else 0 for c in base], np.int32)
 
 
 def count_grams(texts: list[bytes]) -> np.ndarray:
@@ -107,7 +110,7 @@ def character_model(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             joined, size = [], 0
             for text in batch.column(0).to_pylist():
-                joined.append((text or "").encode())
+                joined.append((text or "").encode("latin-1", "replace"))
                 size += len(joined[-1])
                 if size > BLOCK:
                     total += count_grams([b" ".join(joined)])
@@ -139,19 +142,37 @@ def log_probabilities(counts: np.ndarray) -> np.ndarray:
 
 # ---- decoding ------------------------------------------------------------------------
 
+def folded(text: str) -> str:
+    """The text with accented Latin letters as their base letters."""
+    return text if text.isascii() else text.translate(BASE_LETTERS)
+
+
+class BaseLetters(dict):
+    """Code point -> base letter, or itself; found when first asked for."""
+
+    def __missing__(self, code: int) -> int:
+        base = unicodedata.normalize("NFD", chr(code))[0].lower()
+        self[code] = ord(base) if "a" <= base <= "z" else code
+        return self[code]
+
+
+BASE_LETTERS = BaseLetters()
+
 def decode(disguised: str, model) -> str:
-    """Cheapest words, separated by spaces, behind a stretch of lower-case text."""
-    states = {0: (0.0, "")}
+    """Cheapest words, separated by spaces, behind a stretch of lower-case text.
+
+    A path is a chain of (path before, letter), so time and memory grow with the length only.
+    """
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
     context = LETTERS ** (ORDER - 1)
     for c in disguised:
-        reached: dict[int, tuple[float, str]] = {}
+        reached: dict[int, tuple[float, tuple | None]] = {}
 
-        def offer(state: int, cost: float, out: str) -> None:
+        def offer(state: int, cost: float, out: tuple | None) -> None:
             if state not in reached or cost < reached[state][0]:
                 reached[state] = cost, out
 
-        own = [(c, 0.0)] if "a" <= c <= "z" else []
-        options = own + [(x, DISGUISE) for x in LOOKS_LIKE.get(c, "")]
+        options = ([(c, 0.0)] if "a" <= c <= "z" else []) + [(x, DISGUISE) for x in LOOKS_LIKE.get(c, "")]
         separates = c in SEPARATORS
         for state, (cost, out) in states.items():
             for letter, extra in options:
@@ -159,28 +180,35 @@ def decode(disguised: str, model) -> str:
                 if state % LETTERS == code:
                     offer(state, cost + extra + REPEAT, out)
                 offer((state * LETTERS + code) % context,
-                      cost + extra - model[state * LETTERS + code], out + letter)
+                      cost + extra - model[state * LETTERS + code], (out, letter))
             if separates:
                 offer(state, cost + SEPARATOR, out)
             if separates or not options:
                 edge = cost - model[state * LETTERS] + (SEPARATOR if separates else ODD)
-                offer(0, edge, out + " ")
+                offer(0, edge, (out, " "))
         states = reached
-    return min((cost - model[state * LETTERS], out) for state, (cost, out) in states.items())[1]
+    at = min(states.items(), key=lambda s: s[1][0] - model[s[0] * LETTERS])[1][1]
+    letters = []
+    while at is not None:
+        at, letter = at
+        letters.append(letter)
+    return "".join(reversed(letters))
+
+
+def core_of(token: str) -> str:
+    return SIGNS_AT_END.sub("", token.strip(OUTER)).strip(OUTER)
+
+
+def disguised(core: str) -> bool:
+    """Whether a token of lower-case base letters may hide words."""
+    return bool(HAS_LETTER.search(core)) and bool(
+        SPREAD.fullmatch(core) or any(c in LOOKS_LIKE for c in core) or LONG_RUN.search(core))
 
 
 def words_of(token: str, model) -> list[str]:
-    """Words behind a token without white space, in lower case."""
-    core = SIGNS_AT_END.sub("", token.strip(OUTER)).strip(OUTER)
-    if PLAIN.fullmatch(core) and not LONG_RUN.search(core):
-        return [core]
-    out = PLAIN.findall(core)
-    spread = SPREAD.fullmatch(core)
-    mixed = any(c in LOOKS_LIKE for c in core) and HAS_LETTER.search(core)
-    if len(core) <= 64 and HAS_LETTER.search(core) and (
-            spread or mixed or LONG_RUN.search(core)):
-        out += decode(core, model).split()
-    return out
+    """Words behind a token without white space, in lower-case base letters."""
+    core = core_of(folded(token))
+    return decode(core, model).split() if disguised(core) else PLAIN.findall(core)
 
 
 def restore_text(text: str | None, model) -> str | None:
@@ -189,12 +217,11 @@ def restore_text(text: str | None, model) -> str | None:
         return None
 
     def token(found):
-        words = words_of(found[0].lower(), model)
-        core = SIGNS_AT_END.sub("", found[0].lower().strip(OUTER)).strip(OUTER)
-        return found[0] if words == [core] or not words or words == PLAIN.findall(
-            core) else " ".join(words[len(PLAIN.findall(core)):])
+        core = core_of(folded(found[0].lower()))
+        restored = decode(core, model) if disguised(core) else ""
+        return restored or found[0]
 
-    spaced = re.sub(SPACED.pattern, lambda m: decode(m[0].lower(), model), text, flags=re.I)
+    spaced = SPACED.sub(lambda m: decode(folded(m[0].lower()), model), text)
     return re.sub(r"\S+", token, spaced)
 
 
@@ -228,11 +255,9 @@ def tokens_of(text: str, model) -> Iterator[tuple[str, list[str] | None]]:
     for token in set(lowered.split()):
         yield token, None
     for found in SPACED.finditer(lowered):
-        # A window at a time: the model needs only a short context.
-        for at in range(0, len(found[0]), 64):
-            part = found[0][at:at + 96]
-            if HAS_LETTER.search(part):
-                yield part, decode(part, model).split()
+        stretch = folded(found[0])
+        if HAS_LETTER.search(stretch):
+            yield stretch, decode(stretch, model).split()
 
 
 def least_hashes(words: Iterable[str]) -> list[int]:
@@ -270,12 +295,13 @@ def learn(docs: DataFrame, labels: DataFrame, model, rows: int = TRAINING_ROWS
                 found: set[str] = set()
                 for token, words in tokens_of(text or "", shared.value):
                     found.update(words_of(token, shared.value) if words is None else words)
+                features = features_of(found) | {EVERY_TEXT}
                 if label:
                     sketch = least_hashes(found)
-                    for feature in features_of(found):
+                    for feature in features:
                         toxic.setdefault(feature, set()).update(sketch)
                 else:
-                    clean.update(features_of(found))
+                    clean.update(features)
             yield to_batch([(f, sorted(toxic.get(f, ())), clean[f])
                             for f in clean.keys() | toxic.keys()], arrow_schema)
 
@@ -291,6 +317,10 @@ def learn(docs: DataFrame, labels: DataFrame, model, rows: int = TRAINING_ROWS
     counted = written(sample.mapInArrow(run, schema).groupBy("feature").agg(
         sketches.alias("toxic"), F.sum("clean").alias("c")).select("feature", "c", F.greatest(*[
             sketch_count(own) for own in range(SKETCHES)]).alias("t")).where(f"t >= {LEAST_TEXTS}"), "features")
+    # The texts that features are counted among, in the same unit.
+    among = counted.where(F.col("feature") == EVERY_TEXT).first()
+    if among is None:
+        return math.log((n_toxic + 0.5) / (n_clean + 0.5)), {}
     # A beginning counts for itself only if many words share it.
     shared_most = counted.where("feature LIKE '%$'").select("t", F.explode(F.array(*[
         F.when(F.length("feature") > n, F.substring("feature", 1, n)) for n in PREFIXES]))
@@ -298,9 +328,10 @@ def learn(docs: DataFrame, labels: DataFrame, model, rows: int = TRAINING_ROWS
     counted = counted.join(shared_most, "feature", "left").where(
         f"feature LIKE '%$' OR coalesce(most, 0) <= {COMMONEST_SHARE} * t")
     t, c = F.col("t") + 0.5, F.col("c") + 0.5
-    weight = (F.log(t / (n_toxic + 1)) - F.log(c / (n_clean + 1))
+    weight = (F.log(t / (among.t + 1)) - F.log(c / (among.c + 1))
               - CONFIDENCE * F.sqrt(1 / t + 1 / c))
-    weighted = counted.select("feature", weight.alias("weight")).where("weight > 0.5").collect()
+    weighted = counted.where(F.col("feature") != EVERY_TEXT).select(
+        "feature", weight.alias("weight")).where("weight > 0.5").collect()
     return (math.log((n_toxic + 0.5) / (n_clean + 0.5)),
             {r.feature: r.weight for r in weighted})
 
