@@ -1,6 +1,6 @@
 """Jobs for spark-submit: ``batch`` rebuilds the views, ``days`` the views of some days,
-``stream`` runs the speed layer, ``output`` one further output of the same input, ``maintain``
-applies retention and compaction and deletes dead folders."""
+``stream`` runs the speed layer, ``output`` one further output of the same input, ``risks``
+publishes a version of the risk tables, ``maintain`` applies retention and compaction and deletes dead folders."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from riskweave.operators import model
 from riskweave.plans import batch, incremental, serve, stream
 from riskweave.session import build_session, use_rocksdb_state
 from riskweave.settings import Settings
+from riskweave.sources.risk_tables import publish_version
 from riskweave.streaming import speed
 from riskweave.streaming.progress import ProgressTable
 
@@ -22,6 +23,11 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--input", required=True, help="landing folder with year=/month=/day=")
     b.add_argument("--output", required=True)
     b.add_argument("--no-model", action="store_true")
+    b.add_argument("--risks", help="folder of risk versions")
+    r = jobs.add_parser("risks")
+    r.add_argument("--file", required=True, help="risk tables as JSON")
+    r.add_argument("--output", required=True, help="folder of risk versions")
+    r.add_argument("--valid-from", required=True, type=datetime.fromisoformat)
     d = jobs.add_parser("days")
     d.add_argument("--input", required=True, help="landing folder with year=/month=/day=")
     d.add_argument("--output", required=True)
@@ -37,6 +43,8 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--input", help="landing folder; the transactions topic when absent")
     s.add_argument("--starting-offsets", default="latest")
+    s.add_argument("--risks", help="folder of risk versions, read anew for every micro-batch")
+    s.add_argument("--profiles", help="output of the batch job, for its newest profiles")
     s.add_argument("--models", help="output of the batch job, for its newest stream model")
     o = jobs.add_parser("output")
     o.add_argument("name", choices=sorted(stream.JOBS))
@@ -52,6 +60,9 @@ def main(argv: list[str] | None = None) -> None:
         print(incremental.run_days(spark, args.input, args.output, args.first, args.last, now,
                                    s=settings))
         return
+    if args.job == "risks":
+        publish_version(spark, args.output, args.file, args.valid_from)
+        return
     if args.job == "maintain":
         keep = timedelta(hours=args.keep_hours)
         if args.realtime:
@@ -62,7 +73,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "batch":
         valid, rejected = batch.read_valid(spark, args.input)
         done = batch.run(spark, valid, args.output, now, settings,
-                         train_model=not args.no_model, rejected=rejected)
+                         train_model=not args.no_model, rejected=rejected, risks=args.risks)
         print(done.summary)
         return
     use_rocksdb_state(spark)
@@ -76,7 +87,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         path = model.newest(spark, batch.stream_models(args.models)) if args.models else None
         stream.start(records, args.output, args.checkpoint,
-                     model.load(path) if path else None, settings)
+                     model.load(path) if path else None, settings, risks=args.risks,
+                     profiles=args.profiles)
     # Ends with the first query that fails, so no failure goes unseen.
     spark.streams.awaitAnyTermination()
 

@@ -252,6 +252,20 @@ lay AS (SELECT 'batch' AS layer, country, hit FROM sb
 
 DAY = _history(86400)
 SHORT = _history(300)
+
+
+def _as_of(table: str) -> str:
+    """The table with the risks of the version that holds at the event's time."""
+    def cases(column: str, values: dict, default: float) -> str:
+        whens = " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in values.items())
+        return f"CASE {column} {whens} ELSE {default}::DOUBLE END"
+
+    after = "event_ts >= TIMESTAMP '2024-01-16 12:00:00'"
+    country = cases("country", {"US": 0.5, "NG": 0.1, "UA": 0.95, "DE": 0.3}, 0.9)
+    category = cases("merchant_category", {"grocery": 0.9, "crypto": 0.2, "travel": 0.6}, 0.5)
+    return f"""(SELECT * REPLACE (
+      CASE WHEN {after} THEN {country} ELSE country_risk END AS country_risk,
+      CASE WHEN {after} THEN {category} ELSE merchant_risk END AS merchant_risk) FROM {table})"""
 RECENT = f"proc_ts >= {AS_OF} - INTERVAL 1 HOUR"
 
 
@@ -641,6 +655,21 @@ def all_oracles() -> dict[str, str]:
         merchant_risk, velocity_count, round(velocity_amount, 4) AS velocity_amount,
         gap AS time_since_last, round(z, 4) AS amount_zscore, round(score, 6) AS fraud_score,
         hit AS is_fraud_predicted FROM sb""", SHORT)
+    out["batch_scored_as_of"] = _sql(f"""SELECT transaction_id, country_risk, merchant_risk,
+        round({BATCH_SCORE}, 6) AS fraud_score, {BATCH_SCORE} >= 0.7::DOUBLE
+          AS is_fraud_predicted FROM {_as_of('feat')}""", SHORT)
+    out["stream_scored_as_of"] = _sql(f"""SELECT transaction_id, country_risk, merchant_risk,
+        round({STREAM_SCORE}, 6) AS fraud_score, {STREAM_SCORE} >= 0.7::DOUBLE
+          AS is_fraud_predicted,
+        round(CASE WHEN dev > 0 THEN (amount - mean) / dev ELSE 0::DOUBLE END, 4)
+          AS amount_zscore,
+        country IS NOT NULL AND known IS NOT NULL
+          AND NOT coalesce(list_contains(known, country), false) AS is_new_country
+        FROM {_as_of('enr')} e LEFT JOIN (
+          SELECT user_id AS of, avg(amount) AS mean, stddev_samp(amount) AS dev,
+            coalesce(list(DISTINCT country) FILTER (country IS NOT NULL), []) AS known
+          FROM ded WHERE event_ts < {LAST_BATCH} GROUP BY user_id) k ON k.of = e.user_id
+        WHERE amount > 0""")
     out["incremental_scored"] = out["batch_scored"]
     out["incremental_country_stats"] = _sql(f"""SELECT country, {N} AS total_transactions,
         round(sum(amount), 4) AS total_amount, {_n('hit')} AS fraud_count,

@@ -6,6 +6,7 @@ compared value by value.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
@@ -26,7 +27,7 @@ from riskweave.settings import (
 )
 from riskweave.schema import ALERT_COLUMNS
 from riskweave.sources import events, manifest, stores
-from riskweave.sources.risk_tables import constant_table
+from riskweave.sources.risk_tables import constant_table, publish_version, read_versions
 from riskweave.streaming import inspection, sinks, speed, user_state
 from riskweave.times import moment
 
@@ -854,6 +855,45 @@ def stream_enriched(spark, sf_dir):
                        "country_risk", "merchant_risk")
 
 
+# The risk tables that hold from a time in the middle of the test tables on.
+NEW_RISKS = {"country_risk": {"US": 0.5, "NG": 0.1, "UA": 0.95, "DE": 0.3},
+             "merchant_risk": {"grocery": 0.9, "crypto": 0.2, "travel": 0.6}, "blacklist": []}
+NEW_RISKS_FROM = datetime(2024, 1, 16, 12)
+
+
+def risk_versions(spark: SparkSession) -> str:
+    """A folder of risk versions with one published file."""
+    root = work_path(spark, "risks")
+    spark.sql("SELECT :doc AS value", args={"doc": json.dumps(NEW_RISKS)}).coalesce(
+        1).write.text(f"{root}/file")
+    publish_version(spark, root, f"{root}/file", NEW_RISKS_FROM)
+    return root
+
+
+@query
+def batch_scored_as_of(spark, sf_dir):
+    """Batch scores with the risks that held at each transaction's time."""
+    rows = batch_plan.scored(stored(spark, sf_dir), 300, large=large(spark, sf_dir),
+                             versions=read_versions(spark, risk_versions(spark)))
+    return rounded(rows.select("transaction_id", "country_risk", "merchant_risk",
+                               "fraud_score", "is_fraud_predicted"), fraud_score=6)
+
+
+@query
+def stream_scored_as_of(spark, sf_dir):
+    """The speed layer with risk versions and user profiles read for each micro-batch."""
+    root, risks = work_path(spark, "speed"), risk_versions(spark)
+    earlier = unique(spark, sf_dir).where(F.col("event_timestamp") < moment(LAST_BATCH))
+    users = staged(spark, profiles.user_profiles(earlier, as_of()), "profiles")
+    sinks.drain(speed.unique_stream(stream_rows(spark, sf_dir)), sinks.fan_out(
+        root, AS_OF, lambda batch: speed.score_batch(
+            batch, read_versions(spark, risks), users)), f"{root}/checkpoint")
+    return sinks.read_batches(spark, root, "realtime_views").select(
+        "transaction_id", "country_risk", "merchant_risk",
+        r6("fraud_score").alias("fraud_score"), "is_fraud_predicted",
+        r4("amount_zscore").alias("amount_zscore"), "is_new_country")
+
+
 @query
 def stream_window_stats(spark, sf_dir):
     scored = scoring.score(stream_rows(spark, sf_dir), "stream")

@@ -13,7 +13,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.operators.enrich import add_risk, category_risk, country_risk
+from riskweave.operators.enrich import add_risk, add_risk_as_of, category_risk, country_risk
 from riskweave.settings import (
     CATEGORY_RISK, COUNTRY_RISK, JOB_CATEGORY_RISK, JOB_COUNTRY_RISK,
 )
@@ -170,19 +170,23 @@ def add_velocity_flag(df: DataFrame, high_amount: float = 1000.0) -> DataFrame:
 
 def score(df: DataFrame, rules: Profile | str, country_table: DataFrame | None = None,
           category_table: DataFrame | None = None, absent: tuple[str, ...] = (),
-          high_amount: float = 1000.0) -> DataFrame:
+          high_amount: float = 1000.0, versions: DataFrame | None = None) -> DataFrame:
     """Add both risks, ``fraud_score`` and ``is_fraud_predicted``.
 
     Risks, scores and flags of an earlier scoring are replaced: every profile has its own
     tables and defaults. ``absent`` names inputs that the frame lacks and that count as
-    zero. The frame may be a stream.
+    zero. The frame may be a stream. ``versions`` are risk tables by time, in place of the
+    two tables.
     """
     rules = profile(rules) if isinstance(rules, str) else rules
     spark = df.sparkSession
     if rules.name == "stream":
         df = add_velocity_flag(df, high_amount)
-    df = add_risk(
-        df.drop("country_risk", "merchant_risk"),
+    df = df.drop("country_risk", "merchant_risk")
+    df = add_risk_as_of(
+        df, versions, rules.country_default(), rules.unknown_category,
+    ) if versions is not None else add_risk(
+        df,
         country_risk(spark, rules.countries) if country_table is None else country_table,
         category_risk(spark, rules.categories) if category_table is None else category_table,
         rules.country_default(), rules.unknown_category,

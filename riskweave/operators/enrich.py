@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskweave.settings import (
     BLACKLISTED_MERCHANTS, CATEGORY_RISK, COUNTRY_RISK,
 )
-from riskweave.sources.risk_tables import constant_keys, constant_table
+from riskweave.sources.risk_tables import KINDS, constant_keys, constant_table
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, value: str,
@@ -37,6 +37,26 @@ def add_risk(df: DataFrame, country_table: DataFrame | None = None,
     return lookup(df, category_table, "merchant_category", "merchant_risk", unknown_category)
 
 
+def add_risk_as_of(df: DataFrame, versions: DataFrame, unknown_country: float | Column = 0.9,
+                   unknown_category: float | Column = 0.5,
+                   at: str = "event_timestamp") -> DataFrame:
+    """The same from versioned tables, by the version that holds at a row's event time. Rows
+    without a time get the version that holds now."""
+    columns = df.columns
+    for (key, value), default in zip(KINDS.items(), (unknown_country, unknown_category)):
+        table = versions.where(F.col("kind") == key).select(
+            F.col("name").alias("_name"), F.col("risk").alias("_risk"), "valid_from", "valid_to")
+        holds = F.when(F.col(at).isNull(), F.col("valid_to").isNull()).otherwise(
+            (F.col("valid_from") <= F.col(at))
+            & (F.col("valid_to").isNull() | (F.col(at) < F.col("valid_to"))))
+        default = F.lit(default) if isinstance(default, (int, float)) else default
+        # At most one version holds, so a row stays one row.
+        df = df.join(table, (F.col(key) == F.col("_name")) & holds, "left").select(
+            *columns, *[v for v in KINDS.values() if v in df.columns and v not in columns],
+            F.coalesce("_risk", default).alias(value))
+    return df
+
+
 def country_risk(spark: SparkSession, values: dict[str, float] = COUNTRY_RISK) -> DataFrame:
     return F.broadcast(constant_table(spark, values, "country", "country_risk"))
 

@@ -19,19 +19,22 @@ from riskweave.operators.quality import (
 from riskweave.schema import FRAUD_RESULT_COLUMNS
 from riskweave.settings import DEFAULTS, Settings
 from riskweave.sources import stores
+from riskweave.sources.risk_tables import read_versions
 from riskweave.times import moment
 
 
 def scored(txns: DataFrame, window_seconds: int | None = None,
-           s: Settings = DEFAULTS, large: DataFrame | None = None) -> DataFrame:
-    """History features, lookups and batch rules over deduplicated transactions.
+           s: Settings = DEFAULTS, large: DataFrame | None = None,
+           versions: DataFrame | None = None) -> DataFrame:
+    """History features, lookups and batch rules over deduplicated transactions. Risks come
+    from the built-in tables, or from ``versions`` by event time.
 
     The lookups come after the history shuffle: they are map-side joins and their output
     need not be shuffled.
     """
     window = s.velocity_window_seconds if window_seconds is None else window_seconds
     features = history_features(txns, window, s.history_slice_seconds, large)
-    return score(features, profile("batch", s.fraud_threshold))
+    return score(features, profile("batch", s.fraud_threshold), versions=versions)
 
 
 def stream_models(root: str) -> str:
@@ -57,7 +60,8 @@ class BatchRun:
 
 def run(spark: SparkSession, transactions: DataFrame, root: str, at: datetime,
         s: Settings = DEFAULTS, train_model: bool = True,
-        serving_limit: int | None = None, rejected: DataFrame | None = None) -> BatchRun:
+        serving_limit: int | None = None, rejected: DataFrame | None = None,
+        risks: str | None = None) -> BatchRun:
     """Build and publish every view; the run becomes visible with its last step.
 
     Two tables are written instead of cached: the deduplicated transactions and the scored
@@ -78,7 +82,8 @@ def run(spark: SparkSession, transactions: DataFrame, root: str, at: datetime,
     curated = put(first_arrivals(transactions), "transactions")
     users = put(profiles.user_profiles(curated, stamp), "user_profiles")
     # One table for the published view and the training: the view's columns come first.
-    full = scored(curated, s=s, large=large_users(curated)).withColumn("batch_timestamp", stamp)
+    full = scored(curated, s=s, large=large_users(curated), versions=read_versions(
+        spark, risks) if risks else None).withColumn("batch_timestamp", stamp)
     rows = put(full.select(*FRAUD_RESULT_COLUMNS, "batch_timestamp", *[
         c for c in full.columns if c not in (*FRAUD_RESULT_COLUMNS, "batch_timestamp")]),
         "fraud_results")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.functions.scoring import profile, score
@@ -15,18 +15,41 @@ from riskweave.operators.quality import (
 from riskweave.schema import ALERT_COLUMNS, TRANSACTION
 from riskweave.session import rocksdb_state
 from riskweave.settings import DEFAULTS, Settings
-from riskweave.sources.stores import publish_messages
+from riskweave.sources.risk_tables import read_versions
+from riskweave.sources.stores import publish_messages, read_view
 from riskweave.streaming import sinks, speed, user_state
 
 
 def start(records: DataFrame, root: str, checkpoint: str, model: PipelineModel | None = None,
-          s: Settings = DEFAULTS, available_now: bool = False) -> StreamingQuery:
-    """Score ``records`` by the rules (and the model, if there is one) into ``root``."""
-    scored = speed.score_stream(speed.to_transactions(records), s=s)
-    if model is not None:
-        scored = predict(model, scored)
-    return sinks.start(scored, sinks.fan_out(root), checkpoint, s=s,
-                       available_now=available_now)
+          s: Settings = DEFAULTS, available_now: bool = False, risks: str | None = None,
+          profiles: str | None = None) -> StreamingQuery:
+    """Score ``records`` by the rules (and the model, if there is one) into ``root``.
+
+    ``risks`` is a folder of risk versions, ``profiles`` the output of the batch job. Both are
+    read anew for every micro-batch, so that updates need no restart.
+    """
+    unique = speed.to_transactions(records)
+    if risks is None and profiles is None:
+        scored = speed.score_stream(unique, s=s)
+        return sinks.start(scored if model is None else predict(model, scored),
+                           sinks.fan_out(root), checkpoint, s=s, available_now=available_now)
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        spark = batch.sparkSession
+        scored = speed.score_batch(batch, read_versions(spark, risks), newest_profiles(
+            spark, profiles) if profiles else None, s)
+        return scored if model is None else predict(model, scored)
+
+    return sinks.start(speed.unique_stream(unique, s), sinks.fan_out(root, prepare=prepare),
+                       checkpoint, s=s, available_now=available_now)
+
+
+def newest_profiles(spark: SparkSession, root: str) -> DataFrame | None:
+    """User profiles of the newest batch run; None before the first."""
+    try:
+        return read_view(spark, root, "user_profiles")
+    except LookupError:
+        return None
 
 
 def start_dead_letters(records: DataFrame, root: str, checkpoint: str,

@@ -32,14 +32,19 @@ def microbatch_country_stats(rows: DataFrame, batch_id: int, at: datetime | None
     )
 
 
-def fan_out(root: str, at: datetime | None = None) -> Callable[[DataFrame, int], None]:
+def fan_out(root: str, at: datetime | None = None,
+            prepare: Callable[[DataFrame], DataFrame] | None = None
+            ) -> Callable[[DataFrame, int], None]:
     """All outputs of the speed layer from one evaluation of the micro-batch.
 
+    ``prepare`` is applied to the batch first, for what must be looked up anew every time.
+
     Scored rows are written first; alerts and statistics are read back from those files.
     The stateful plan thus runs once per batch and nothing is cached, so a lost executor
     costs no recomputation. Errors propagate and stop the query.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch if prepare is None else prepare(batch)
         path = write_batch(batch, root, "realtime_views", batch_id)
         rows = batch.sparkSession.read.schema(batch.schema).parquet(path)
         write_batch(rows.filter("is_fraud_predicted").select(*ALERT_COLUMNS),

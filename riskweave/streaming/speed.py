@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.functions.scoring import Profile, profile, score
+from riskweave.operators.history import amount_zscore
+from riskweave.operators.profiles import unusual_countries
 from riskweave.operators.dedup import stream_first_seen
 from riskweave.operators.quality import accepted, parse_messages, validate
 from riskweave.operators.views import flagged_count, tag_windows
@@ -48,6 +50,23 @@ def score_stream(stream: DataFrame, rules: Profile | str = "stream",
     return score(tag_windows(unique, s.window_duration), rules, high_amount=s.high_amount)
 
 
+def unique_stream(stream: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
+    """The stateful part of ``score_stream`` alone."""
+    return tag_windows(stream_first_seen(stream, s.watermark_delay), s.window_duration)
+
+
+def score_batch(batch: DataFrame, versions: DataFrame, user_profiles: DataFrame | None = None,
+                s: Settings = DEFAULTS) -> DataFrame:
+    """The rest of it for one micro-batch, with lookups that were read for this batch: risks
+    by the version of a row's event time and, with profiles, the user's averages, z-score and
+    whether the country is new for the user."""
+    scored = score(batch, profile("stream", s.fraud_threshold), high_amount=s.high_amount,
+                   versions=versions)
+    if user_profiles is None:
+        return scored
+    return unusual_countries(amount_zscore(scored, user_profiles), user_profiles)
+
+
 def window_stats(stream: DataFrame, s: Settings = DEFAULTS, duration: str | None = None,
                  slide: str | None = None, *keys: str, watermarked: bool = False) -> DataFrame:
     """Counts and amounts per event-time window, emitted once a window is closed. A stream
