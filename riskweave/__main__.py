@@ -85,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "output":
         stream.JOBS[args.name](records, args.output, args.checkpoint, s=settings)
     else:
-        path = model.newest(spark, batch.stream_models(args.models)) if args.models else None
+        path = model.champion(spark, batch.stream_models(args.models)) if args.models else None
         stream.start(records, args.output, args.checkpoint,
                      model.load(path) if path else None, settings, risks=args.risks,
                      profiles=args.profiles)

@@ -610,15 +610,6 @@ def all_oracles() -> dict[str, str]:
         CAST('0x' || substr(md5(transaction_id), 1, 8) AS BIGINT) % 100 < 80 AS in_train
         FROM ded WHERE label IN ('normal', 'fraud')""")
 
-    held_out = f"""SELECT '%s' AS features, true AS learned, {N} AS held_out,
-        {_n("label = 'fraud'")} AS held_out_fraud FROM ded WHERE label IN ('normal', 'fraud')
-        AND CAST('0x' || substr(md5(transaction_id), 1, 8) AS BIGINT) % 100 >= 80"""
-    out["model_eval"] = _sql(
-        held_out.replace("%s", "history") + " UNION ALL " + held_out.replace("%s", "online"))
-    out["stream_model_score"] = _sql(
-        """SELECT transaction_id, round(score, 6) AS fraud_score, true AS consistent
-        FROM rs""", RAW_STREAM)
-
     outcome = """(SELECT 'stream' AS layer,
         CASE WHEN reason IS NULL THEN 'success' ELSE 'error' END AS status, seen_ts FROM chk)"""
     out["metric_transactions"] = _sql(

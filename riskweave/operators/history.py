@@ -29,11 +29,20 @@ from riskweave.settings import DEFAULTS, NO_PREVIOUS_SECONDS
 _KEYS = ["_user", "_slice"]
 # Users with more rows than this are cut into slices of time.
 LARGE_USER_ROWS = 100_000
+# At most so many users are: their ids are sent to every task.
+MOST_LARGE_USERS = 100_000
 
 
-def large_users(rows: DataFrame, more_than: int = LARGE_USER_ROWS) -> DataFrame:
+def large_users(rows: DataFrame, more_than: int | None = None) -> DataFrame:
     """Ids of the users whose history does not belong into one task. Copies may count:
-    the ids decide about the plan only. At most one id per ``more_than`` rows."""
+    the ids decide about the plan only.
+
+    At most one id per ``more_than`` rows. By default that is LARGE_USER_ROWS, or more where
+    the table is so long that there could be more than MOST_LARGE_USERS such ids, so what is
+    broadcast has a bound that does not grow with the table.
+    """
+    if more_than is None:
+        more_than = max(LARGE_USER_ROWS, rows.count() // MOST_LARGE_USERS)
     return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).filter(
         F.col("_n") > more_than).select("user_id")
 

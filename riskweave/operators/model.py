@@ -10,7 +10,8 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.scoring import Profile, score
@@ -117,3 +118,30 @@ def register(spark: SparkSession, root: str, path: str, at: datetime, auc: float
 def newest(spark: SparkSession, root: str) -> str | None:
     rows = spark.read.parquet(f"{root}/ml_models")
     return rows.agg(F.max_by("path", "trained_at")).first()[0]
+
+
+def standings(spark: SparkSession, root: str, tolerance: float = 0.01) -> DataFrame:
+    """The registry with what each model was when it was registered: the champion of its time
+    (``won``) or a challenger that did not get there.
+
+    A model wins if its held-out area under the curve is at most ``tolerance`` below that of
+    the best one before it: a newer model has seen newer rows, so a draw goes to it, but many
+    small losses do not add up, as the best ever is the mark.
+    """
+    # One row per training run.
+    before = Window.orderBy("trained_at", "path").rowsBetween(Window.unboundedPreceding, -1)
+    rows = spark.read.parquet(f"{root}/ml_models").withColumn(
+        "mark", F.max(F.when(~F.isnan("auc"), F.col("auc"))).over(before))
+    return rows.withColumn("won", ~F.isnan("auc") & (
+        F.col("mark").isNull() | (F.col("auc") >= F.col("mark") - tolerance)))
+
+
+def champion(spark: SparkSession, root: str, tolerance: float = 0.01) -> str | None:
+    """Path of the model to serve: the newest that has won. None without a registered one."""
+    try:
+        rows = standings(spark, root, tolerance)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return rows.where("won").agg(F.max_by("path", F.struct("trained_at", "path"))).first()[0]

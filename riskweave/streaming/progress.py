@@ -16,24 +16,28 @@ PROGRESS = T.StructType([
     T.StructField("query_id", T.StringType()), T.StructField("batch_id", T.LongType()),
     T.StructField("at", T.StringType()), T.StructField("input_rows", T.LongType()),
     T.StructField("trigger_seconds", T.DoubleType()), T.StructField("lag", T.LongType()),
+    T.StructField("lag_by_partition", T.MapType(T.StringType(), T.LongType())),
 ])
 
 
 def progress_row(report: dict) -> dict[str, object]:
     """One row of the table from a query's progress report; ``lag`` sums the records that
-    still wait in all source partitions."""
+    still wait in the source partitions."""
+    lag = source_lag(report)
     return {
         "query_id": str(report["id"]), "batch_id": int(report["batchId"]),
         "at": str(report["timestamp"]), "input_rows": int(report.get("numInputRows", 0)),
         "trigger_seconds": float(trigger_seconds(report)),
-        "lag": sum(source_lag(report).values()),
+        "lag": sum(lag.values()), "lag_by_partition": lag,
     }
 
 
 def append(spark: SparkSession, root: str, report: dict) -> None:
     row = progress_row(report)
+    lag = F.from_json(F.lit(json.dumps(row.pop("lag_by_partition"))), "map<string,bigint>")
     append_row(spark, f"{root}/stream_progress", {
-        f.name: F.lit(row[f.name]).cast(f.dataType) for f in PROGRESS})
+        f.name: F.lit(row[f.name]).cast(f.dataType) if f.name in row else lag
+        for f in PROGRESS})
 
 
 class ProgressTable(StreamingQueryListener):
@@ -57,3 +61,10 @@ class ProgressTable(StreamingQueryListener):
 
 def read_progress(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(PROGRESS).parquet(f"{root}/stream_progress")
+
+
+def lag_by_partition(progress: DataFrame) -> DataFrame:
+    """query_id, partition, lag at each query's newest batch: the gauge per partition."""
+    newest = progress.groupBy("query_id").agg(
+        F.max_by("lag_by_partition", "batch_id").alias("lag"))
+    return newest.select("query_id", F.explode("lag").alias("partition", "lag"))
