@@ -1,6 +1,6 @@
 """Jobs for spark-submit: ``batch`` rebuilds the views, ``days`` the views of some days,
-``stream`` runs the speed layer, ``output`` one further output of the same input, ``risks``
-publishes a version of the risk tables, ``maintain`` applies retention and compaction and deletes dead folders."""
+``stream`` runs the speed layer, ``output`` one further output of the same input, ``replay``
+computes the batches of a time again, ``risks`` publishes a version of the risk tables, ``maintain`` applies retention and compaction and deletes dead folders."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from riskweave.plans import batch, incremental, serve, stream
 from riskweave.session import build_session, use_rocksdb_state
 from riskweave.settings import Settings
 from riskweave.sources.risk_tables import publish_version
-from riskweave.streaming import speed
+from riskweave.streaming import replay, speed
 from riskweave.streaming.progress import ProgressTable
 
 
@@ -38,6 +38,11 @@ def main(argv: list[str] | None = None) -> None:
     m.add_argument("--days", help="output of the days job")
     m.add_argument("--keep-hours", type=int, default=24,
                    help="longer than any run and any read of a view")
+    y = jobs.add_parser("replay")
+    y.add_argument("--output", required=True, help="output of the stream job")
+    y.add_argument("--checkpoint", required=True, help="its checkpoint, of a file stream")
+    y.add_argument("--start", required=True, type=datetime.fromisoformat)
+    y.add_argument("--end", required=True, type=datetime.fromisoformat)
     s = jobs.add_parser("stream")
     s.add_argument("--output", required=True)
     s.add_argument("--checkpoint", required=True)
@@ -60,6 +65,10 @@ def main(argv: list[str] | None = None) -> None:
         print(incremental.run_days(spark, args.input, args.output, args.first, args.last, now,
                                    s=settings))
         return
+    if args.job == "replay":
+        chosen = replay.between(replay.batches(spark, args.checkpoint), args.start, args.end)
+        print(chosen, replay.replay(spark, args.checkpoint, args.output, *chosen, now, settings))
+        return
     if args.job == "risks":
         publish_version(spark, args.output, args.file, args.valid_from)
         return

@@ -565,6 +565,7 @@ def all_oracles() -> dict[str, str]:
         {ts("date_trunc('minute', event_ts)")} AS window_start,
         {ts("date_trunc('minute', event_ts) + INTERVAL 1 MINUTE")} AS window_end
         FROM {live}""", LIVE)
+    out["replayed_view"] = out["stream_scored"]
     out["microbatch_country_stats"] = _sql(f"""SELECT country, {N} AS transaction_count,
         round(sum(amount), 4) AS total_amount, {_n('hit')} AS fraud_count,
         round(avg(score), 12) AS avg_fraud_score, {ts(AS_OF)} AS timestamp,

@@ -20,15 +20,16 @@ from riskweave.operators import (
 )
 from riskweave.plans import batch as batch_plan
 from riskweave.plans import incremental
+from riskweave.plans import stream as stream_plan
 from riskweave.session import rocksdb_state, work_path
 from riskweave.settings import (
     CATEGORY_RISK, COUNTRY_RISK, DEFAULTS, E2E_LATENCY_BOUNDS, JOB_CATEGORY_RISK,
     JOB_COUNTRY_RISK, PROCESSING_LATENCY_BOUNDS, SCORE_BOUNDS,
 )
 from riskweave.schema import ALERT_COLUMNS
-from riskweave.sources import events, manifest, stores
+from riskweave.sources import events, manifest, microbatches, stores
 from riskweave.sources.risk_tables import constant_table, publish_version, read_versions
-from riskweave.streaming import inspection, sinks, speed, user_state
+from riskweave.streaming import inspection, replay, sinks, speed, user_state
 from riskweave.times import moment
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -926,6 +927,26 @@ def stream_scored(spark, sf_dir):
         text("window_end").alias("window_end"))
 
 
+@query
+def replayed_view(spark, sf_dir):
+    """The speed layer over five files in turn, packed, with its middle batches replayed."""
+    root = work_path(spark, "replayed")
+    rows, day = raw(spark, sf_dir), F.dayofmonth("event_timestamp")
+    # Files are taken in the order of their writing.
+    for first, last in ((1, 6), (7, 12), (13, 18), (19, 24), (25, 31)):
+        stores.kafka_envelope(events.to_messages(rows.where(day.between(first, last)))).select(
+            "value").coalesce(1).write.mode("append").text(f"{root}/in")
+    stream_plan.start(speed.read_landing_stream(spark, f"{root}/in", 1), f"{root}/out",
+                      f"{root}/checkpoint", available_now=True).awaitTermination()
+    microbatches.compact(spark, f"{root}/out", "realtime_views", AS_OF)
+    replay.replay(spark, f"{root}/checkpoint", f"{root}/out", 1, 3, AS_OF)
+    rows = sinks.read_batches(spark, f"{root}/out", "realtime_views")
+    return rows.select(
+        "transaction_id", "user_id", "amount", r6("fraud_score").alias("fraud_score"),
+        "is_fraud_predicted", text("window_start").alias("window_start"),
+        text("window_end").alias("window_end"))
+
+
 @query
 def microbatch_country_stats(spark, sf_dir):
     rows = sinks.read_batches(spark, speed_outputs(spark, sf_dir), "dashboard_stats")

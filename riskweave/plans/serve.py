@@ -39,11 +39,11 @@ def purge_realtime(spark: SparkSession, root: str, as_of: datetime, hours: int =
     all of them stay as they are. Without an earlier batch nothing happens.
     """
     parts = manifest.read(spark, root).of("realtime_views")
-    found = microbatches.batch_ids(spark, root, "realtime_views")
-    if not found or found[-1] - 1 <= microbatches.packed_upto(parts):
+    if not microbatches.waiting(spark, root, "realtime_views", parts):
         return 0
     now = moment(as_of)
-    rows = microbatches.read(spark, root, "realtime_views", found[-1] - 1, parts)
+    newest = microbatches.batch_ids(spark, root, "realtime_views")[-1]
+    rows = microbatches.read(spark, root, "realtime_views", newest - 1, parts)
     gone = serving.retention_counts(rows, now, hours).first()["deleted"]
     microbatches.compact(spark, root, "realtime_views", as_of,
                          kept=lambda packed: serving.retained(packed, now, hours))
