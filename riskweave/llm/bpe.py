@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import ahocorasick
@@ -29,11 +29,11 @@ from riskweave.llm.common import map_rows
 
 # Stretches whose encoding one worker remembers at most, the half of them that was not asked
 # for lately goes first.
-MEMO_CHUNKS = 400_000
+MEMO_CHUNKS = 240_000
 # Byte prefixes whose last token one worker remembers at most; then it starts anew.
-MEMO_PREFIXES = 1_000_000
+MEMO_PREFIXES = 400_000
 # The same for pairs of tokens that fit and for the tokens that end a prefix.
-MEMO_PAIRS = 350_000
+MEMO_PAIRS = 250_000
 # Pieces of more bytes than this are encoded without leaving prefixes behind.
 LONGEST_SHARED = 64
 NEVER = 1 << 62
@@ -59,11 +59,6 @@ class Vocabulary:
                 self.usable[token] = rank
                 if len(parts) == 2:
                     self.halves[rank] = (parts[0], parts[1])
-        # Finds all tokens that end at each byte, longest first.
-        self.endings = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for token, rank in self.usable.items():
-            self.endings.add_word(token.decode("latin-1"), rank)
-        self.endings.make_automaton()
         self._right: dict[int, tuple[int, ...]] = {}
         self._left: dict[int, tuple[int, ...]] = {}
         self.sizes = [len(t) for t in self.tokens]
@@ -72,6 +67,15 @@ class Vocabulary:
         self._prefixes = Prefixes(self)
         self._spaced = SpacedChunks(self)
 
+    @cached_property
+    def endings(self) -> ahocorasick.Automaton:
+        """Finds all tokens that end at each byte, longest first."""
+        found = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for token, rank in self.usable.items():
+            found.add_word(token.decode("latin-1"), rank)
+        found.make_automaton()
+        return found
+
     def _merged(self, token: bytes, below: int) -> list[int]:
         """Parts of the token after all merges of a lower rank."""
         parts = [token[i:i + 1] for i in range(len(token))]

@@ -19,12 +19,13 @@ alike; an empty table gives no rows. Only SQL functions are used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm.common import free_name
 
-KEY = "riskweave"
+# Name of the session setting that holds the secret key; it is kept out of the code.
+KEY_SETTING = "spark.riskweave.pseudonymKey"
 ROUNDS = 4  # of two half rounds each
 CYCLE_START = "2000-03-01"
 CYCLE_DAYS = (189, 773)
@@ -307,10 +308,18 @@ def scanned(part: Column, pattern: str) -> Column:
         F.filter(parts, lambda p: F.length(p["text"]) > 0))
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, inverse: bool = False,
+def session_key(spark: SparkSession, default: str | None = None) -> str:
+    """The key that the session names; without one and without a default there is none."""
+    key = spark.conf.get(KEY_SETTING, None) or default
+    if not key:
+        raise ValueError(f"set {KEY_SETTING} to the secret key of the pseudonyms")
+    return key
+
+
+def pseudonymise(docs: DataFrame, key: str, inverse: bool = False,
                  kinds: str | None = None) -> DataFrame:
     """All columns, ``text`` with pseudonyms. ``kinds`` names a new column for the array of
-    the kinds that were replaced."""
+    the kinds that were replaced. Who has the key can restore the values."""
     text = F.col("text")
     parts, names = (free_name(docs, n) for n in ("parts", "kinds"))
     able = F.lit(False)
@@ -330,5 +339,5 @@ def pseudonymise(docs: DataFrame, key: str = KEY, inverse: bool = False,
     return out.withColumnRenamed(names, kinds) if kinds else out.drop(names)
 
 
-def restore(docs: DataFrame, key: str = KEY) -> DataFrame:
+def restore(docs: DataFrame, key: str) -> DataFrame:
     return pseudonymise(docs, key, inverse=True)

@@ -11,7 +11,7 @@ filtered aggregation, until every cut lies between known groups. The driver hold
 256 sums plus 256 for each such range and round. Only DataFrame functions touch the rows.
 
 Null texts form one group of size 8 (no bytes) each row, with CRC 0; empty texts another.
-Repeated rows are documents of their own. An empty table gives no rows. A group larger than
+Repeated rows are documents of their own, with slots next to each other. An empty table gives no rows. A group larger than
 an equal share fills its shard alone, as it cannot be cut.
 """
 
@@ -28,6 +28,7 @@ from riskweave.llm.common import written
 OVERHEAD = 8
 SPLIT = 2  # hexadecimal digits by which a range is split
 CELLS = 1024  # rows of a shard are numbered in so many cells
+BURST = 10_000  # copies of one row that one task makes at a time
 NULL_DIGEST = "0" * 64
 
 
@@ -147,16 +148,32 @@ def by_bytes(docs: DataFrame, shards: int = 24) -> DataFrame:
         .alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
         F.coalesce(F.sha2("text", 256), F.lit(NULL_DIGEST)).alias("digest")), "sizes")
     _, firsts = solve(items, shards)
-    placed = items.select(
-        "doc_id", "size", "text_crc32", shard_of(F.col("digest"), firsts).alias("shard"),
-        F.pmod(F.xxhash64("doc_id", "digest"), F.lit(CELLS)).cast("int").alias("cell"))
+    # Equal rows are numbered as one group with their count.
+    groups = items.groupBy("doc_id", "digest", "size", "text_crc32").agg(
+        F.count("*").alias("copies"))
+    placed = groups.withColumns({
+        "shard": shard_of(F.col("digest"), firsts),
+        "cell": F.pmod(F.xxhash64("doc_id", "digest"), F.lit(CELLS)).cast("int")})
     # At most shards x CELLS rows, whatever the size of the input.
-    counts = placed.groupBy("shard", "cell").agg(F.count("*").alias("n"))
+    counts = placed.groupBy("shard", "cell").agg(F.sum("copies").alias("n"))
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(
         Window.unboundedPreceding, -1)
     starts = counts.select("shard", "cell",
                            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    within = Window.partitionBy("shard", "cell").orderBy("doc_id", "text_crc32", "size")
-    numbered = placed.withColumn("at", F.row_number().over(within) - 1)
-    return numbered.join(F.broadcast(starts), ["shard", "cell"]).select(
-        "doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("at")).alias("slot"))
+    earlier = Window.partitionBy("shard", "cell").orderBy(
+        "doc_id", "text_crc32", "size", "digest").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = written(placed.withColumn(
+        "at", F.coalesce(F.sum("copies").over(earlier), F.lit(0))).join(
+        F.broadcast(starts), ["shard", "cell"]).select(
+        "doc_id", "size", "text_crc32", "shard", "digest", "copies",
+        (F.col("start") + F.col("at")).alias("first")), "numbered")
+    # A group of very many copies is dealt out before its rows are made.
+    bursts = numbered.where(F.col("copies") > BURST).withColumn("burst", F.explode(
+        F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / BURST)))).repartition(
+        "doc_id", "digest", "burst")
+    dealt = numbered.where(F.col("copies") <= BURST).withColumn(
+        "burst", F.lit(0).cast("bigint")).unionByName(bursts)
+    begin, end = F.col("burst") * BURST, (F.col("burst") + 1) * BURST
+    return dealt.select("doc_id", "size", "text_crc32", "shard", F.explode(F.sequence(
+        F.col("first") + begin, F.col("first") + F.least(end, F.col("copies")) - 1))
+        .alias("slot"))

@@ -91,7 +91,7 @@ def test_bpe_edges_and_round_trip(edge_docs, no_docs):
 # ---- pseudonyms ----------------------------------------------------------------------
 
 def hashed(tweak, turn, value):
-    text = f"{pii.KEY}|{tweak}|{turn}|{value}"
+    text = f"{queries.TEST_KEY}|{tweak}|{turn}|{value}"
     return int(hashlib.sha256(text.encode()).hexdigest()[:15], 16)
 
 
@@ -127,7 +127,7 @@ PERSONAL = [
 
 @pytest.fixture(scope="module")
 def replaced(make_docs):
-    return pii.pseudonymise(make_docs(PERSONAL), kinds="found").orderBy("doc_id").collect()
+    return pii.pseudonymise(make_docs(PERSONAL), queries.TEST_KEY, kinds="found").orderBy("doc_id").collect()
 
 
 def test_valid_values_are_replaced_and_others_stay(replaced):
@@ -150,7 +150,7 @@ def test_valid_values_are_replaced_and_others_stay(replaced):
 @pytest.mark.parametrize("number", [
     "+49 170 1234567", "+442071234567", "(555) 123-4567", "555-123-4567", "+1.555.123.4567"])
 def test_forms_of_phone_numbers(make_docs, number):
-    row = pii.pseudonymise(make_docs([f"at {number}, or later"]), kinds="found").first()
+    row = pii.pseudonymise(make_docs([f"at {number}, or later"]), queries.TEST_KEY, kinds="found").first()
     assert row.found == ["phone"] and number not in row.text
     assert re.sub(r"\d", "0", row.text) == re.sub(r"\d", "0", f"at {number}, or later")
 
@@ -174,25 +174,25 @@ ADJACENT = [
 
 def test_adjacent_values_are_all_found_and_restored(make_docs):
     docs = make_docs([text for text, _ in ADJACENT])
-    out = pii.pseudonymise(docs, kinds="found").orderBy("doc_id")
+    out = pii.pseudonymise(docs, queries.TEST_KEY, kinds="found").orderBy("doc_id")
     for (text, kinds), row in zip(ADJACENT, out.collect()):
         assert (text, row.found) == (text, kinds)
         assert re.sub(r"\d", "0", row.text) == re.sub(r"\d", "0", text)
         assert (row.text == text) == (not kinds)
-    assert [r.text for r in pii.restore(out.drop("found")).orderBy("doc_id").collect()] == [
+    assert [r.text for r in pii.restore(out.drop("found"), queries.TEST_KEY).orderBy("doc_id").collect()] == [
         text for text, _ in ADJACENT]
 
 
 def test_pseudonyms_can_be_restored(make_docs):
     docs = make_docs(PERSONAL)
-    rows = pii.restore(pii.pseudonymise(docs)).orderBy("doc_id").collect()
+    rows = pii.restore(pii.pseudonymise(docs, queries.TEST_KEY), queries.TEST_KEY).orderBy("doc_id").collect()
     assert [r.text for r in rows] == PERSONAL
 
 
 @pytest.mark.parametrize("a,b", [(1, 7), (10, 10), (189, 773)])
 def test_feistel_is_a_permutation(spark, a, b):
     x = spark.range(a * b).select(F.col("id").alias("x"), pii.permuted(
-        F.col("id"), F.lit(a).cast("bigint"), F.lit(b).cast("bigint"), pii.KEY, "t").alias("y"))
+        F.col("id"), F.lit(a).cast("bigint"), F.lit(b).cast("bigint"), queries.TEST_KEY, "t").alias("y"))
     rows = x.collect()
     assert sorted(r.y for r in rows) == list(range(a * b))
     assert all(r.y == permuted(r.x, a, b, "t") for r in rows[:50])
@@ -201,8 +201,8 @@ def test_feistel_is_a_permutation(spark, a, b):
 def test_social_security_numbers_keep_their_ranges(spark):
     values = spark.range(3000).select(F.format_string(
         "%03d-%02d-%04d", 1 + F.col("id") % 665, 1 + F.col("id") % 99, 1 + F.col("id")).alias("v"))
-    out = values.select("v", pii.ssn(F.col("v"), pii.KEY, False).alias("p")).select(
-        "v", "p", pii.ssn(F.col("p"), pii.KEY, True).alias("back")).collect()
+    out = values.select("v", pii.ssn(F.col("v"), queries.TEST_KEY, False).alias("p")).select(
+        "v", "p", pii.ssn(F.col("p"), queries.TEST_KEY, True).alias("back")).collect()
     assert all(r.v == r.back for r in out) and len({r.p for r in out}) == len(out)
     for r in out:
         area, group, serial = map(int, r.p.split("-"))
@@ -225,9 +225,9 @@ def test_pseudonym_query_is_native_and_keeps_clean_texts(spark, sf_dir, texts):
 
 
 def test_pseudonym_edges(edge_docs, no_docs):
-    out = pii.pseudonymise(edge_docs)
+    out = pii.pseudonymise(edge_docs, queries.TEST_KEY)
     assert out.columns == edge_docs.columns and out.count() == ROW_COUNT
-    assert pii.pseudonymise(no_docs).count() == 0
+    assert pii.pseudonymise(no_docs, queries.TEST_KEY).count() == 0
 
 
 # ---- shards --------------------------------------------------------------------------
@@ -319,3 +319,34 @@ def test_stages_keep_columns_and_take_odd_tables(spark, sf_dir, edge_docs, no_do
             assert out.count() <= docs.count()
     last = corpus_pipeline.STAGES[-1][1]
     assert last(spark, edge_docs, sf_dir).count() == ROW_COUNT
+
+
+@pytest.mark.parametrize("doc_id", ["5", "NULL"])
+def test_shards_of_100_000_equal_rows(spark, make_docs, doc_id):
+    """No task numbers them alone; every slot is given once."""
+    hot = spark.range(100_000, numPartitions=8).selectExpr(
+        f"CAST({doc_id} AS bigint) AS doc_id", "'same text' AS text")
+    other = make_docs([(i, f"text {i}") for i in range(300)]).select("doc_id", "text")
+    rows = sharding.by_bytes(hot.union(other), 4)
+    per_shard = rows.groupBy("shard").agg(
+        F.count("*").alias("n"), F.count_distinct("slot").alias("slots"),
+        F.max("slot").alias("last"), F.min("slot").alias("first")).collect()
+    assert sum(r.n for r in per_shard) == 100_300
+    assert all((r.slots, r.first, r["last"]) == (r.n, 0, r.n - 1) for r in per_shard)
+    (hot_shard,) = rows.where("size = 17").select("shard").distinct().collect()
+    assert rows.where("size = 17").count() == 100_000 and hot_shard.shard is not None
+
+
+def test_the_key_is_a_setting(spark, make_docs):
+    docs = make_docs(["mail anna.schmidt@example.org"])
+    with pytest.raises(ValueError):
+        pii.session_key(spark)
+    spark.conf.set(pii.KEY_SETTING, "another key")
+    try:
+        key = pii.session_key(spark, queries.TEST_KEY)
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    assert key == "another key" and pii.session_key(spark, "d") == "d"
+    texts = {k: pii.pseudonymise(docs, k).first().text for k in (key, queries.TEST_KEY)}
+    assert texts[key] != texts[queries.TEST_KEY]
+    assert pii.restore(pii.pseudonymise(docs, key), key).first().text == docs.first().text
