@@ -239,4 +239,5 @@ def test_progress_of_a_query_is_kept(spark, tmp_path):
     progress.append(spark, str(tmp_path), report)
     row = progress.read_progress(spark, str(tmp_path)).first()
     assert row.asDict() == {"query_id": "q", "batch_id": 3, "at": report["timestamp"],
-                            "input_rows": 7, "trigger_seconds": 1.5, "lag": 4}
+                            "input_rows": 7, "trigger_seconds": 1.5, "lag": 4,
+                            "lag_by_partition": {"t-0": 4}}
