@@ -368,3 +368,14 @@ def test_equal_digests_are_told_apart(tmp_path):
     array = urlfilter.KeyArray({p: str(tmp_path / p) for p in urlfilter.PARTS})
     assert array.find([b"two.example", b"three"]).tolist() == [1, -1]
     assert array.blocks(1) and not array.blocks(0)
+
+
+@pytest.mark.parametrize("doc_id", ["7", "NULL"])
+def test_many_rows_with_one_id_and_text(spark, doc_id):
+    """Linear in the rows: all of their bytes repeat, all of them go."""
+    rng = np.random.default_rng(2)
+    text = "".join(chr(97 + i) for i in rng.integers(0, 26, 900))
+    docs = spark.range(20_000, numPartitions=4).select(
+        F.expr(f"CAST({doc_id} AS bigint)").alias("doc_id"), F.lit(text).alias("text"))
+    rows = repeats.digests(docs).groupBy("n_bytes", "n_removed", "n_spans").count().collect()
+    assert [tuple(r) for r in rows] == [(900, 900, 1, 20_000)]
