@@ -279,5 +279,6 @@ def tag_windows(df: DataFrame, duration: str = "1 minute",
 
 
 def missing_from(source: DataFrame, sink: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Rows produced but not stored."""
-    return source.join(sink.select(key), key, "left_anti")
+    """Rows produced but not stored. The ids are as many as the rows, whatever the size of the
+    files they are read from suggests, so they are shuffled and never sent to every task."""
+    return source.join(sink.select(key).hint("merge"), key, "left_anti")

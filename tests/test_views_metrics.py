@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from riskweave.functions import scoring
 from riskweave.operators import metrics, serving, views
 
@@ -128,3 +129,11 @@ def test_retention_keeps_the_bound(make_scored):
     assert serving.retention_counts(df, F.lit(AS_OF)).first().asDict() == {
         "deleted": 1, "kept": 1}
     assert serving.retained(df, F.lit(AS_OF)).count() == 1
+
+
+def test_missing_rows_are_found_without_a_broadcast(spark):
+    source = spark.range(50).selectExpr("CAST(id AS string) AS transaction_id")
+    sink = source.where("CAST(transaction_id AS int) % 7 <> 0")
+    missing = views.missing_from(source, sink)
+    assert "Broadcast" not in plan_of(missing)
+    assert sorted(int(r[0]) for r in missing.collect()) == list(range(0, 50, 7))
