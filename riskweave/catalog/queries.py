@@ -10,6 +10,7 @@ import json
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from riskweave.settings import (
     JOB_COUNTRY_RISK, PROCESSING_LATENCY_BOUNDS, SCORE_BOUNDS,
 )
 from riskweave.schema import ALERT_COLUMNS
-from riskweave.sources import events, manifest, microbatches, stores
+from riskweave.sources import events, files, manifest, microbatches, stores
 from riskweave.sources.risk_tables import constant_table, publish_version, read_versions
 from riskweave.streaming import inspection, replay, sinks, speed, user_state
 from riskweave.times import moment
@@ -41,6 +42,8 @@ LAST_BATCH = datetime(2024, 1, 25)
 # One day of history makes the velocity rules fire on the sparse test tables.
 DAY = 86_400
 A_USER = "USER_00007"
+# Rows of one landed file of the replay, about.
+ROWS_OF_FILE = 100_000
 # The model queries train on tables of any size.
 SMALL_TRAINING = replace(DEFAULTS, min_training_rows=1)
 
@@ -927,16 +930,28 @@ def stream_scored(spark, sf_dir):
         text("window_end").alias("window_end"))
 
 
+def land_in_turn(spark: SparkSession, sf_dir: str, path: str) -> int:
+    """Messages of five spans of days, one after the other, each in the same number of files;
+    returns that number. A stream takes files in the order of their writing."""
+    rows, day = raw(spark, sf_dir), F.dayofmonth("event_timestamp")
+    each = max(1, ceil(events.read_events(spark, sf_dir).count() / 5 / ROWS_OF_FILE))
+    spans = ((1, 6), (7, 12), (13, 18), (19, 24), (25, 31))
+    for i, (first, last) in enumerate(spans, 1):
+        span = rows.where(day.between(first, last)).repartition(each)
+        stores.kafka_envelope(events.to_messages(span)).select("value").write.mode(
+            "append").text(path)
+        # Tasks without rows write no file.
+        for _ in range(i * each - files.measure(spark, path)[1]):
+            spark.createDataFrame([], "value string").write.mode("append").text(path)
+    return each
+
+
 @query
 def replayed_view(spark, sf_dir):
-    """The speed layer over five files in turn, packed, with its middle batches replayed."""
+    """The speed layer over five spans of days in turn, packed, with its middle batches replayed."""
     root = work_path(spark, "replayed")
-    rows, day = raw(spark, sf_dir), F.dayofmonth("event_timestamp")
-    # Files are taken in the order of their writing.
-    for first, last in ((1, 6), (7, 12), (13, 18), (19, 24), (25, 31)):
-        stores.kafka_envelope(events.to_messages(rows.where(day.between(first, last)))).select(
-            "value").coalesce(1).write.mode("append").text(f"{root}/in")
-    stream_plan.start(speed.read_landing_stream(spark, f"{root}/in", 1), f"{root}/out",
+    files_each = land_in_turn(spark, sf_dir, f"{root}/in")
+    stream_plan.start(speed.read_landing_stream(spark, f"{root}/in", files_each), f"{root}/out",
                       f"{root}/checkpoint", available_now=True).awaitTermination()
     microbatches.compact(spark, f"{root}/out", "realtime_views", AS_OF)
     replay.replay(spark, f"{root}/checkpoint", f"{root}/out", 1, 3, AS_OF)

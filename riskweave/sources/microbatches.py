@@ -69,7 +69,8 @@ def read(spark: SparkSession, root: str, table: str, upto: int | None = None,
 
 def _write(rows: DataFrame, root: str, table: str, at: datetime, size: int, target: int) -> str:
     path = f"{table}_packed/run_id={at:%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}"
-    rows.coalesce(max(1, ceil(size / target))).write.parquet(f"{root}/{path}")
+    # Not coalesced: few files must not mean that few tasks read and filter all rows.
+    rows.repartition(max(1, ceil(size / target))).write.parquet(f"{root}/{path}")
     return path
 
 

@@ -8,10 +8,12 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from riskweave.catalog import queries
 from riskweave.functions import scoring
 from riskweave.operators import profiles
 from riskweave.plans import batch, stream
-from riskweave.sources import microbatches, risk_tables
+from riskweave.session import work_path
+from riskweave.sources import files, microbatches, risk_tables
 from riskweave.streaming import replay, sinks
 from test_days_manifest import plain
 from test_streaming import Feed, message
@@ -161,3 +163,23 @@ def test_batch_scores_by_event_time(spark, make_txns, tmp_path):
     rows = batch.scored(txns, versions=risk_tables.read_versions(spark, root)).orderBy(
         "event_timestamp").collect()
     assert [r.country_risk for r in rows] == [0.8, 0.0]
+
+
+def test_replay_input_in_several_files_a_span(spark, sf_dir, monkeypatch, tmp_path):
+    """Each span of days has the same number of files, also where tasks have no rows, and the
+    rows are those of one file a span."""
+    plain = work_path(spark, "in")
+    assert queries.land_in_turn(spark, sf_dir, plain) == 1
+    one = spark.read.text(plain)
+    monkeypatch.setattr(queries, "ROWS_OF_FILE", 40)
+    several = work_path(spark, "in")
+    each = queries.land_in_turn(spark, sf_dir, several)
+    assert each > 1 and files.measure(spark, several)[1] == 5 * each
+    assert spark.read.text(several).exceptAll(one).isEmpty()
+    assert spark.read.text(several).count() == one.count()
+    few = spark.read.parquet(f"{sf_dir}/events.parquet").where(
+        "ts < TIMESTAMP '2024-01-04'").limit(30)
+    few.write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(queries, "ROWS_OF_FILE", 2)
+    assert queries.land_in_turn(spark, str(tmp_path), f"{tmp_path}/in") == 3
+    assert files.measure(spark, f"{tmp_path}/in")[1] == 15
