@@ -7,7 +7,8 @@ follows event time: a replay gives the same rows as the first run, which a time
 clock of the machine would not.
 
 Copies of a transaction and their order do not change the record, so no deduplication runs
-before. The state lives in RocksDB (``session.rocksdb_state``).
+before. Of the rows that a task reads together only the newest of each user goes on: an older one
+can change neither the record nor the watermark. The state lives in RocksDB (``session.rocksdb_state``).
 """
 
 from __future__ import annotations
@@ -74,13 +75,22 @@ class CurrentRisk(StatefulProcessor):
         pass
 
 
+def newest_of_each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The newest row of each user within every frame."""
+    for frame in frames:
+        yield frame.sort_values(["scored_us", "transaction_id"]).drop_duplicates(
+            "user_id", keep="last")
+
+
 def current_user_risk(scored: DataFrame, s: Settings = DEFAULTS) -> DataFrame:
     """Updates of the users' current risk: user_id, risk_score, scored_at, expired. Rows
     without a user or a time have no place in it."""
-    rows = scored.where("user_id IS NOT NULL AND event_timestamp IS NOT NULL").withWatermark(
-        "event_timestamp", s.watermark_delay).select(
-        "user_id", "event_timestamp", "transaction_id", F.col("fraud_score").alias("risk_score"),
+    rows = scored.where("user_id IS NOT NULL AND event_timestamp IS NOT NULL").select(
+        "user_id", "transaction_id", F.col("fraud_score").alias("risk_score"),
         F.unix_micros("event_timestamp").alias("scored_us"))
+    rows = rows.mapInPandas(newest_of_each, rows.schema).withColumn(
+        "event_timestamp", F.timestamp_micros("scored_us")).withWatermark(
+        "event_timestamp", s.watermark_delay)
     updates = rows.groupBy("user_id").transformWithStateInPandas(
         CurrentRisk(s.user_idle_seconds * 1000), UPDATE, "Update", "EventTime")
     return updates.select("user_id", "risk_score",

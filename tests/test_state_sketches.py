@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from riskweave.functions import scoring
@@ -161,3 +162,11 @@ def test_sketches_of_micro_batches_add_up(spark, tmp_path):
     assert written.select("batch_id").distinct().count() > 1
     assert sketches.active_users(written).first().active_users == 9
     assert sketches.quantiles(written).first()["count"] == 120
+
+
+def test_only_the_newest_row_of_a_user_reaches_the_state():
+    frame = pd.DataFrame({"user_id": ["a", "b", "a", "a"], "transaction_id": ["3", "1", "2", "4"],
+                          "risk_score": [0.1, 0.2, 0.3, 0.4], "scored_us": [5, 1, 9, 5]})
+    (newest,) = user_state.newest_of_each(iter([frame]))
+    assert {(r.user_id, r.transaction_id, r.scored_us) for r in newest.itertuples()} == {
+        ("a", "2", 9), ("b", "1", 1)}
