@@ -95,7 +95,7 @@ def links(nodes: DataFrame, small_bucket: int = SMALL_BUCKET) -> DataFrame:
                  F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key"))
         for v, m in enumerate(tables)])).alias("t")).select("fp", "t.*")
     sizes = keyed.groupBy("v", "key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = written(keyed.join(sizes, ["v", "key"]), "buckets")
+    shared = written(keyed.join(sizes, ["v", "key"]), "buckets", len(tables) * nodes.count())
 
     few = shared.where(F.col("n") <= small_bucket).groupBy("v", "key").agg(
         F.array_sort(F.collect_list("fp")).alias("fps"))
@@ -123,8 +123,9 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """
     both = written(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))),
                    "links")
+    size = both.count()
     roots = written(both.groupBy(F.col("a").alias("fp")).agg(
-        F.least(F.first("a"), F.min("b")).alias("root")), "roots")
+        F.least(F.first("a"), F.min("b")).alias("root")), "roots", size)
     for _ in range(max_rounds):
         seen = both.join(roots, both.b == roots.fp).groupBy("a").agg(
             F.min("root").alias("least"))
@@ -132,7 +133,8 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
             "fp", "root", F.least("root", "least").alias("next"))
         target = roots.select(F.col("fp").alias("next"), F.col("root").alias("beyond"))
         moved = written(nearer.join(target, "next").select(
-            "fp", F.col("root").alias("old"), F.least("next", "beyond").alias("root")), "roots")
+            "fp", F.col("root").alias("old"), F.least("next", "beyond").alias("root")),
+            "roots", size)
         roots = moved.select("fp", "root")
         if moved.where("root <> old").isEmpty():
             return roots
