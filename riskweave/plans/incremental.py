@@ -19,13 +19,14 @@ import uuid
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.scoring import amount_flags, profile, score
 from riskweave.operators import views
 from riskweave.operators.dedup import first_arrivals
-from riskweave.operators.history import history_features, large_users, zscore
+from riskweave.operators.history import (
+    history_features, large_users, whole_histories, zscore)
 from riskweave.operators.quality import accepted, parse_messages, validate
 from riskweave.schema import FRAUD_RESULT_COLUMNS
 from riskweave.settings import DEFAULTS, NO_PREVIOUS_SECONDS, Settings
@@ -97,7 +98,9 @@ def user_totals(parts: DataFrame, before: date) -> DataFrame:
 def features(scope: DataFrame, totals: DataFrame, window_seconds: int,
              s: Settings = DEFAULTS) -> DataFrame:
     """History features of the rows in scope, completed by what the other days know."""
-    own = history_features(scope, window_seconds, s.history_slice_seconds, large_users(scope))
+    large = large_users(scope)
+    own = whole_histories(scope, window_seconds) if large.isEmpty() else history_features(
+        scope, window_seconds, s.history_slice_seconds, large)
     kept = [c for c in own.columns if c not in (
         "avg_amount", "stddev_amount", "amount_zscore", "is_high_amount",
         "is_very_high_amount")]
@@ -133,8 +136,17 @@ def run_days(spark: SparkSession, landing: str, root: str, first: date, last: da
         return spark.read.schema(df.schema).parquet(path)
 
     checked = validate(parse_messages(landed(spark, landing, first, last), keep=("day",)))
-    put(checked.where(~F.col("valid")).select("raw_value", "reason", "day"), "dead_letters")
-    curated = put(first_arrivals(accepted(checked)), "transactions")
+    faulty_day, faults = F.when(~F.col("valid"), F.col("day")), Observation()
+    watched = checked.observe(faults, F.min(faulty_day).alias("first"),
+                              F.max(faulty_day).alias("last"))
+    curated = put(first_arrivals(accepted(watched)), "transactions")
+    # Parsing is dear: only from the first to the last day with a fault it is done again. A plan
+    # that turns out empty reports nothing.
+    reported = {"first": first, "last": last} if curated.isEmpty() else faults.get
+    if reported["first"]:
+        put(checked.where(~F.col("valid") & F.col("day").between(
+            F.lit(reported["first"]), F.lit(reported["last"]))).select(
+                "raw_value", "reason", "day"), "dead_letters")
     own_days = put(user_days(curated), "user_days")
 
     def others(view: str, lower: date | None, upper: date | None) -> DataFrame | None:

@@ -112,6 +112,24 @@ def test_new_and_vanished_days(spark, make_txns, tmp_path):
     assert sorted(r.day for r in left.collect()) == [two, three]
 
 
+def test_only_days_with_faults_are_parsed_for_dead_letters(spark, make_txns, tmp_path):
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "views")
+    txns = make_txns([{"event_s": 86_400.0 * d + 5, "user_id": u} for d in range(4)
+                      for u in "AB"]).withColumns(
+        {"currency": F.lit("USD"), "card_type": F.lit("visa")})
+    stores.land(events.to_messages(txns), landing)
+    one, four = date(1970, 1, 1), date(1970, 1, 4)
+    incremental.run_days(spark, landing, root, one, four, AT)
+    # Nothing to write, so the messages were not parsed a second time.
+    assert files.folders(spark, f"{root}/dead_letters") == []
+    for d, lines in ((2, "not json\n"), (3, '{"transaction_id": "x"}\n' * 2)):
+        (tmp_path / "landing" / "year=1970" / "month=1" / f"day={d}" / "bad.json").write_text(lines)
+    incremental.run_days(spark, landing, root, one, four, AT + timedelta(hours=1))
+    found = incremental.read_days(spark, root, "dead_letters").groupBy("day").count().collect()
+    assert sorted((r.day.day, r["count"]) for r in found) == [(2, 1), (3, 2)]
+    assert incremental.read_days(spark, root, "transactions").count() == 8
+
+
 def test_faulty_messages_of_a_rerun_are_not_doubled(spark, landing, tmp_path):
     source, root = tmp_path / "landing", str(tmp_path / "views")
     for d in (1, 2):

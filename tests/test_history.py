@@ -164,3 +164,17 @@ def test_summary_of_uncut_users_is_one_row_each(make_txns):
     df = make_txns(random_rows(300, 8, 90_000.0, 3))
     marks = history._marks(df, 300, 60, df.select("user_id").limit(0))
     assert history._slice_summary(marks).count() == df.select("user_id").distinct().count()
+
+
+def test_whole_histories_equal_the_features(spark, make_txns):
+    """Without users to cut; rows without a time or user, ties, and equal seconds."""
+    rng = random.Random(8)
+    rows = [{"user_id": rng.choice(["A", "B", "C", None]), "amount": rng.choice([1.5, 20.0, None]),
+             "event_s": rng.choice([None, float(rng.randrange(900)), rng.randrange(900) + 0.25])}
+            for _ in range(400)]
+    df = make_txns([{**r, "proc_s": 0.0} for r in rows])
+    got = history.whole_histories(df, 60)
+    want = history.history_features(df, 60, 900, df.select("user_id").limit(0))
+    assert got.columns == want.columns[:len(got.columns)]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(got.collect(), key=key) == sorted(want.select(got.columns).collect(), key=key)
