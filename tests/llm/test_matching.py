@@ -310,6 +310,26 @@ def test_pieces_cover_every_item():
         assert pieces[-1][1] == n and max(b - a for a, b in pieces) <= decontam.LONGEST_PIECE
 
 
+def test_rephrasing_in_related_words(spark, make_docs):
+    """Items whose rare words are all replaced by others that occur with them in the corpus."""
+    rng, docs, items = random.Random(4), [], []
+    common = [f"c{i}" for i in range(60)]
+    for i in range(40):
+        rare, other = ([f"{kind}{i}x{j}" for j in range(16)] for kind in "rs")
+        for _ in range(12):
+            docs.append(" ".join(rng.choices(rare + other, k=50) + rng.choices(common, k=14)))
+        kept = rng.sample(common, 20)
+        mixed = [w for pair in zip(rare, kept) for w in pair] + kept[16:] + ["last", *common[:3]]
+        items.append((i, " ".join(mixed)))
+        swap = dict(zip(rare, other))
+        docs.append("rephrased " + " ".join(swap.get(w, w) for w in mixed))
+    docs += [" ".join(rng.choices(common, k=64)) for _ in range(400)]
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+    found = {(r.doc_id, r.item_id) for r in decontam.contaminated(
+        make_docs(docs), benchmark).collect()}
+    assert {(13 * i + 12, i) for i in range(40)} <= found
+
+
 def test_decontamination_edges(spark, edge_docs, no_docs):
     none = spark.createDataFrame([], "item_id bigint, text string")
     one = spark.createDataFrame([(1, ITEM)], none.schema)
